@@ -16,7 +16,7 @@ from dossierflow.functions import vocabulary as V
 
 MARK = "\u0001"  # separator that page text cannot contain
 
-NEWLINE = r"(?:\r\n|[\n\r\x0B\f\x1C-\x1E\x85\u2028\u2029])"
+NEWLINE = r"\r\n?|[\x0B\f\x1C-\x1E\x85\u2028\u2029]"
 SPACES = r"[\s\x1C-\x1F\x85\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
 SPACE_CHARS = (
     " \t\n\r\x0b\f\x1c\x1d\x1e\x1f\x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
@@ -30,9 +30,34 @@ INVISIBLE = (
 )
 BLOCK_TAG = r"(?i)(</?(?:p|li|h[1-4]|dt|dd)(?:\s[^>]*|/)?>)"
 WRAPPED_ITEM = r"(?i)(<li(?:\s[^>]*)?>)\s*<(?:p|h[1-4])(?:\s[^>]*)?>"
-HIDDEN_OPEN = (
-    r"""(?i)(<[a-z][a-z0-9]*\s[^>]*class\s*=\s*["'][^"'>]*hidden-print[^"'>]*["'][^>]*>)"""
-)
+_HIDDEN_CLASS = r"""\s[^>]*class\s*=\s*["'][^"'>]*hidden-print[^"'>]*["'][^>]*>"""
+HIDDEN_OPEN = r"(?i)(<[a-z][a-z0-9]*" + _HIDDEN_CLASS + ")"
+
+
+def _balanced(tag: str, depth: int = 5) -> str:
+    """Inside of an element up to its end tag, with same-tag nesting to ``depth``.
+    Possessive throughout, so matching is linear and never recurses on length."""
+    other = (
+        r"[^<]++|<!--(?s:.*?)-->|<(?:script|style)\b(?s:.*?)</(?:script|style)\s*>"
+        rf"|<(?!/?{tag}[\s/>])"
+    )
+    inside = f"(?:{other})*+"
+    for _ in range(depth):
+        inside = rf"(?:{other}|<{tag}(?=[\s/>]){inside}</{tag}\s*>)*+"
+    return rf"{inside}</{tag}\s*>"
+
+
+HIDDEN_ELEMENT = r"(?i)<([a-z][a-z0-9]*)" + _HIDDEN_CLASS + _balanced(r"\1")
+DIV_ELEMENT = r"(?i)^<div(?=[\s/>])" + _balanced("div")
+
+
+def literal_map(values: dict) -> Column:
+    """A constant map column."""
+
+    def sql(v) -> str:
+        return str(v) if isinstance(v, int) else "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+    return F.expr("map(" + ", ".join(f"{sql(k)}, {sql(v)}" for k, v in values.items()) + ")")
 
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
@@ -109,6 +134,15 @@ def first_element(rest: Column, tag: Column | str) -> Column:
     return let(pieces, cut)
 
 
+def div_element(rest: Column) -> Column:
+    """The ``div`` element that ``rest`` starts with. One pattern covers ordinary
+    pages; deeper nesting or an unclosed element takes the counting way."""
+    found = F.regexp_extract(rest, DIV_ELEMENT, 0)
+    return let(
+        found, lambda e: F.when(e != "", e).otherwise(first_element(rest, "div").element)
+    )
+
+
 def drop_hidden(html: Column) -> Column:
     """Remove elements whose class list holds ``hidden-print``."""
 
@@ -116,11 +150,20 @@ def drop_hidden(html: Column) -> Column:
         tag = F.lower(F.regexp_extract(piece, r"^<([a-zA-Z][a-zA-Z0-9]*)", 1))
         return F.concat(F.lit("<!>"), first_element(piece, tag).tail)
 
-    pieces = F.split(F.regexp_replace(html, HIDDEN_OPEN, MARK + "$1"), MARK)
-    shown = F.array_join(
-        F.transform(pieces, lambda p, i: F.when(i == 0, p).otherwise(visible(p))), ""
-    )
-    return F.when(F.contains(html, F.lit("hidden-print")), shown).otherwise(html)
+    def deep(h: Column) -> Column:
+        pieces = F.split(F.regexp_replace(h, HIDDEN_OPEN, MARK + "$1"), MARK)
+        return F.array_join(
+            F.transform(pieces, lambda p, i: F.when(i == 0, p).otherwise(visible(p))), ""
+        )
+
+    marker = F.lit("hidden-print")
+    return F.when(
+        F.contains(html, marker),
+        let(
+            F.regexp_replace(html, HIDDEN_ELEMENT, "<!>"),
+            lambda h: F.when(F.contains(h, marker), deep(h)).otherwise(h),
+        ),
+    ).otherwise(html)
 
 
 # --------------------------------------------------------------------------
@@ -128,7 +171,7 @@ def drop_hidden(html: Column) -> Column:
 # --------------------------------------------------------------------------
 def decode_entities(text: Column) -> Column:
     """Decode named and numeric character references, each exactly once."""
-    known = F.create_map(*[F.lit(x) for pair in V.ENTITIES.items() for x in pair])
+    known = literal_map(V.ENTITIES)
 
     def code_point(ref: Column) -> Column:
         number = F.when(
@@ -164,7 +207,7 @@ def decode_entities(text: Column) -> Column:
 def tidy(text: Column) -> Column:
     """White-space rules of the cleaned text: at most one blank line, no empty
     bullets, no line that only says OK."""
-    t = F.translate(text, "\u00a0\u200b", " ")
+    t = F.replace(F.replace(text, F.lit("\u00a0"), F.lit(" ")), F.lit("\u200b"), F.lit(""))
     t = F.regexp_replace(t, r"[ \t]{2,}", " ")
     t = F.regexp_replace(t, r"[ \t]?\n[ \t]?", "\n")
     t = F.regexp_replace(t, r"\n{3,}", "\n\n")
@@ -173,38 +216,31 @@ def tidy(text: Column) -> Column:
     return F.btrim(t, F.lit(" \t\n"))
 
 
-def _block_text(piece: Column) -> Column:
-    """Text of one piece of markup that starts at a block tag (or at the top)."""
+def _block_text(piece: Column, at: Column) -> Column:
+    """Text of one piece of markup; all but the first start at a block tag."""
+    tag = F.when(at == 0, "").otherwise(F.lower(F.regexp_extract(piece, "^<(/?[a-zA-Z0-9]+)", 1)))
+    rest = F.when(at == 0, piece).otherwise(F.substr(piece, F.instr(piece, ">") + 1))
+
+    def strip_tags(p: Column) -> Column:
+        # inside a block tags separate words, elsewhere they separate lines
+        gap = F.when(p.tag.isin("p", "li", "h1", "h2", "h3", "h4", "dt", "dd"), " ").otherwise("\n")
+        return F.struct(
+            p.tag.alias("tag"),
+            F.btrim(F.regexp_replace(p.rest, "<[^>]*>", gap), F.lit(" \t\n")).alias("text"),
+        )
 
     def render(p: Column) -> Column:
-        line, loose = p.line, p.loose
+        line = F.concat(F.lit("\n"), p.text, F.lit("\n"))
         return (
-            F.when(p.tag == "p", F.concat(F.lit("\n"), line, F.lit("\n")))
-            .when((p.tag == "li") & (line == ""), F.lit(""))
-            .when(p.tag == "li", F.concat(F.lit("\n• "), line, F.lit("\n")))
-            .when(
-                p.tag.isin("h1", "h2", "h3", "h4"),
-                F.when(line == "", F.lit("")).otherwise(
-                    F.concat(F.lit("\n\n"), line, F.lit("\n"))
-                ),
-            )
-            .when(p.tag == "dt", F.concat(F.lit("\n"), F.rtrim(line, F.lit(":")), F.lit(":")))
-            .when(p.tag == "dd", F.concat(F.lit(" "), line, F.lit("\n")))
-            .when((p.tag == "/dt") & (line == ""), F.lit(""))
-            .otherwise(F.concat(F.lit("\n"), loose))
+            F.when(p.tag == "dt", F.concat(F.lit("\n"), F.rtrim(p.text, F.lit(":")), F.lit(":")))
+            .when(p.text == "", F.when(p.tag == "/dt", "").otherwise("\n"))
+            .when(p.tag == "dd", F.concat(F.lit(" "), p.text, F.lit("\n")))
+            .when(p.tag == "li", F.concat(F.lit("\n• "), p.text, F.lit("\n")))
+            .when(p.tag.isin("h1", "h2", "h3", "h4"), F.concat(F.lit("\n"), line))
+            .otherwise(line)
         )
 
-    tag = F.lower(F.regexp_extract(piece, r"(?i)^<(/?(?:p|li|h[1-4]|dt|dd))[\s/>]", 1))
-    rest = F.regexp_replace(piece, r"(?i)^</?(?:p|li|h[1-4]|dt|dd)(?:\s[^>]*|/)?>", "")
-    return let(
-        F.struct(
-            tag.alias("tag"),
-            # inside a block tags separate words, elsewhere they separate lines
-            F.btrim(F.regexp_replace(rest, "<[^>]*>", " "), F.lit(" \t\n")).alias("line"),
-            F.regexp_replace(rest, "<[^>]*>", "\n").alias("loose"),
-        ),
-        render,
-    )
+    return let(let(F.struct(tag.alias("tag"), rest.alias("rest")), strip_tags), render)
 
 
 def clean_html(html: Column) -> Column:
@@ -214,7 +250,7 @@ def clean_html(html: Column) -> Column:
     h = let(F.regexp_replace(h, INVISIBLE, "<!>"), drop_hidden)
     h = F.regexp_replace(h, WRAPPED_ITEM, "$1")
     pieces = F.split(F.regexp_replace(h, BLOCK_TAG, MARK + "$1"), MARK)
-    text = F.array_join(F.transform(pieces, lambda p: _block_text(p)), "")
+    text = F.array_join(F.transform(pieces, _block_text), "")
     return tidy(let(text, decode_entities))
 
 
@@ -223,15 +259,16 @@ def clean_html(html: Column) -> Column:
 # --------------------------------------------------------------------------
 def normal_text(text: Column) -> Column:
     """Trimmed non-empty lines joined by newline; the input of all extractors."""
-    t = F.translate(F.coalesce(text, F.lit("")), "\u00a0", " ")
+    t = F.replace(F.coalesce(text, F.lit("")), F.lit("\u00a0"), F.lit(" "))
+    t = F.regexp_replace(t, NEWLINE, "\n")
     t = F.regexp_replace(t, r"[ \t]+", " ")
-    t = F.regexp_replace(t, r"[ \u2000-\u200A\u3000]*" + NEWLINE + SPACES + "*", "\n")
+    t = F.regexp_replace(t, r" ?\n[ \n]*", "\n")
     return strip(t)
 
 
 def lines_of(text: Column) -> Column:
     """Trimmed non-empty lines, in order."""
-    return F.filter(F.split(normal_text(text), "\n"), lambda line: line != "")
+    return F.filter(F.transform(F.split(normal_text(text), "\n"), strip), lambda line: line != "")
 
 
 def without_bullet(line: Column) -> Column:

@@ -29,17 +29,48 @@ _H2_TITLE = (
 # --------------------------------------------------------------------------
 # columns
 # --------------------------------------------------------------------------
-def label_column(text: Column, labels, *, strict: bool = False) -> Column:
-    """Value of the first line that contains a label, null when empty.
+ALL_LABELS = (
+    *V.LABELS_CITY, *V.LABELS_EMPLOYMENT, *V.LABELS_AGE, *V.LABELS_READY, *V.LABELS_CONSIDERED
+)
+
+
+def label_lines(lines: Column, labels) -> Column:
+    """Lines that name any of the labels, each with the line after it."""
+    named = F.transform(
+        lines, lambda x, i: F.when(x.rlike("(?iu)" + T.any_of(labels)), F.struct(
+            x.alias("line"), F.get(lines, i + 1).alias("following")
+        ))
+    )
+    return F.filter(named, lambda e: e.isNotNull())
+
+
+def label_column(named: Column, labels, *, strict: bool = False) -> Column:
+    """Value of the first of the :func:`label_lines` with these labels, null when
+    empty.
 
     ``Label: value`` gives the right side; a label without a colon gives the
     next line. ``strict`` always takes the next line.
     """
-    label = T.any_of(labels)
-    next_line = rf".*{label}.*\n{_BULLET}"
-    same_line = rf"[^:\n]*{label}[^:\n]*: *"
-    start = next_line if strict else f"(?:{same_line}|{next_line})"
-    return T.blank_to_null(F.regexp_extract(text, rf"(?iumd)^{start}(.*)$", 1))
+    label = "(?iu)" + T.any_of(labels)
+    next_line = lambda e: T.without_bullet(e.following)
+
+    def usable(e: Column) -> Column:
+        return e.line.rlike(label) & (
+            e.following.isNotNull() if strict else (e.following.isNotNull() | same_line(e))
+        )
+
+    def same_line(e: Column) -> Column:
+        return e.line.contains(":") & F.substring_index(e.line, ":", 1).rlike(label)
+
+    def value(e: Column) -> Column:
+        if strict:
+            return next_line(e)
+        right = F.substr(e.line, F.instr(e.line, ":") + 1)
+        return T.strip(F.when(same_line(e), right).otherwise(next_line(e)))
+
+    return T.let(
+        F.get(F.filter(named, usable), F.lit(0)), lambda e: T.let(value(e), T.blank_to_null)
+    )
 
 
 def employment_columns(value: Column, *, legacy_flags: bool = False) -> dict[str, Column]:
@@ -121,29 +152,31 @@ def name_position_columns(lines: Column, html: Column, has_container: Column) ->
             T.blank_to_null(markup_text(html, _H2_TITLE)), T.blank_to_null(markup_text(html, _H2))
         ),
     )
-    return T.let(
-        F.struct(h1.alias("h1"), h2.alias("h2"), from_lines.alias("top")),
-        lambda n: F.struct(
-            F.when(n.h1 != V.UNKNOWN_NAME, n.h1)
-            .otherwise(clean_name(n.top["name"]))
-            .alias("person_name"),
-            F.coalesce(n.h2, n.top["position"]).alias("position"),
-        ),
-    )
-
+    def choose(n: Column) -> Column:
+        # the first lines are read only when the markup names nobody or nothing
+        return T.let(
+            F.when((n.h1 == V.UNKNOWN_NAME) | n.h2.isNull(), from_lines),
+            lambda top: F.struct(
+                F.when(n.h1 != V.UNKNOWN_NAME, n.h1).otherwise(clean_name(top["name"])).alias("person_name"),
+                F.coalesce(n.h2, top["position"]).alias("position"),
+            ),
+        )
 
-def _months(names, start: int = 1) -> list[Column]:
-    return [F.lit(x) for i, name in enumerate(names, start) for x in (name, i)]
+    return T.let(F.struct(h1.alias("h1"), h2.alias("h2")), choose)
 
 
 def date_column(lines: Column) -> Column:
     """First valid ``D month YYYY`` among the first lines."""
-    months = F.create_map(*_months(V.MONTHS_GENITIVE_UA), *_months(V.MONTHS_GENITIVE_RU))
+    months = T.literal_map({
+        name: i
+        for names in (V.MONTHS_GENITIVE_UA, V.MONTHS_GENITIVE_RU)
+        for i, name in enumerate(names, 1)
+    })
 
     def day(line: Column) -> Column:
         found = F.regexp_extract(line, rf"([0-9]{{1,2}}\s+{_LETTER}+\s+[0-9]{{4}})", 1)
         return T.let(
-            F.split(found, r"\s+"),
+            F.split(T.blank_to_null(found), r"\s+"),
             lambda p: F.to_date(
                 F.try_to_timestamp(
                     F.concat_ws(
@@ -176,7 +209,7 @@ def salary_column(lines: Column) -> Column:
     """First plausible amount before the currency word near the top."""
     amounts = F.transform(
         F.slice(lines, 1, V.SALARY_SCAN_LINES),
-        lambda x: F.when(~is_section_title(x), _amount(x, _SALARY)),
+        lambda x: F.when(x.rlike(_SALARY) & ~is_section_title(x), _amount(x, _SALARY)),
     )
     plausible = F.filter(amounts, lambda a: a.between(V.SALARY_MIN, V.SALARY_MAX))
     return F.get(plausible, F.lit(0))
@@ -211,21 +244,36 @@ def veteran_column(html: Column) -> Column:
     badge = (
         r"(?iuU)<(span|div|a)(?:\s[^>]*)?>(?:\s|&nbsp;|<[^/][^>]*>)*+ветеран(?:\s|&nbsp;|<[^>]*>){0,20}</\1\s*>"
     )
-    return near.rlike(_VETERAN) | h.rlike(badge)
+    return h.rlike("(?iu)ветеран") & (near.rlike(_VETERAN) | h.rlike(badge))
 
 
-def section_column(text: Column, titles, *, exact: bool = False) -> Column:
-    """Lines between the first line that contains a title and the next section
-    title. ``exact`` asks for whole-line titles on both ends."""
+def section_parts(text: Column, *, exact: bool = False) -> Column:
+    """Text cut before every section title. A title is any line that contains
+    one; ``exact`` asks for whole lines."""
+    if exact:
+        title = rf"(?iumd)^(?={_BULLET}{_STOP} *:?$)"
+    else:
+        # a title that contains another is found through the shorter one
+        words = [w for w in V.SECTION_STOPS if not any(
+            o != w and o.lower() in w.lower() for o in V.SECTION_STOPS)]
+        title = rf"(?iumd)^(?=.*{T.any_of(words)})"
+    return F.split(F.regexp_replace(text, title, T.MARK), T.MARK)
 
-    def line(words: str) -> str:
+
+def section_column(parts: Column, titles, *, exact: bool = False) -> Column:
+    """Lines between the first line with one of the titles and the next section
+    title, from :func:`section_parts`; null when empty."""
+
+    def opens(part: Column) -> Column:
+        line = F.substring_index(part, "\n", 1)
         if exact:
-            return rf"(?iumd)^{_BULLET}{words} *:?$\n?"
-        return rf"(?iumd)^.*{words}.*\n?"
+            return line.rlike(rf"(?iu)^{_BULLET}{T.any_of(titles)} *:?$")
+        return line.rlike("(?iu)" + T.any_of(titles))
 
-    after = F.get(F.split(text, line(T.any_of(titles)), 2), F.lit(1))
-    body = F.get(F.split(after, line(_STOP), 2), F.lit(0))
-    return T.blank_to_null(T.strip(body))
+    found = F.get(F.filter(F.slice(parts, F.lit(2), F.size(parts)), opens), F.lit(0))
+    return T.let(
+        found, lambda p: T.blank_to_null(T.strip(F.substr(p, F.length(F.substring_index(p, "\n", 1)) + 2)))
+    )
 
 
 def bullet_items(section: Column) -> Column:
@@ -255,8 +303,8 @@ SECTIONS = {
 }
 
 
-def section_columns(text: Column, *, exact: bool = False) -> dict[str, Column]:
-    made = {name: section_column(text, titles, exact=exact) for name, titles in SECTIONS.items()}
+def section_columns(parts: Column, *, exact: bool = False) -> dict[str, Column]:
+    made = {name: section_column(parts, titles, exact=exact) for name, titles in SECTIONS.items()}
     made["skills"] = T.let(made["skills"], bullet_items)
     made["languages"] = T.let(made["languages"], bullet_items)
     made["disability"] = first_line(made["disability"])
@@ -267,7 +315,7 @@ def section_columns(text: Column, *, exact: bool = False) -> dict[str, Column]:
 # jobs
 # --------------------------------------------------------------------------
 def _with_text(df: DataFrame, text: str) -> DataFrame:
-    """Settle the normal text (``_text``) and its lines (``_lines``) once."""
+    """Settle the normal text (``_text``); ``_lines`` are its lines."""
     normal = settle(df, _text=T.normal_text(F.col(text)))
     return normal.withColumn(
         "_lines", F.when(F.col("_text") == "", F.array().cast("array<string>")).otherwise(F.split("_text", "\n"))
@@ -277,21 +325,20 @@ def _with_text(df: DataFrame, text: str) -> DataFrame:
 def label_value(
     df: DataFrame, labels, *, text: str = "cleaned_text", out: str = "value", strict: bool = False
 ) -> DataFrame:
-    return (
-        _with_text(df, text)
-        .withColumn(out, label_column(F.col("_text"), labels, strict=strict))
-        .drop("_text", "_lines")
-    )
+    """Add the value of the first line with one of the labels."""
+    found = settle(_with_text(df, text), _named=label_lines(F.col("_lines"), labels))
+    value = label_column(F.col("_named"), labels, strict=strict)
+    return found.withColumn(out, value).select(*df.columns, out)
 
 
-def label_field_columns(text: Column, *, strict: bool, legacy_flags: bool) -> dict[str, Column]:
-    employment = label_column(text, V.LABELS_EMPLOYMENT, strict=strict)
+def label_field_columns(named: Column, *, strict: bool, legacy_flags: bool) -> dict[str, Column]:
+    employment = label_column(named, V.LABELS_EMPLOYMENT, strict=strict)
     return {
-        "city": label_column(text, V.LABELS_CITY, strict=strict),
-        "ready_to_work": T.comma_items(label_column(text, V.LABELS_READY)),
-        "considered_positions": T.comma_items(label_column(text, V.LABELS_CONSIDERED)),
+        "city": label_column(named, V.LABELS_CITY, strict=strict),
+        "ready_to_work": T.comma_items(label_column(named, V.LABELS_READY)),
+        "considered_positions": T.comma_items(label_column(named, V.LABELS_CONSIDERED)),
         **employment_columns(employment, legacy_flags=legacy_flags),
-        "age": age_column(label_column(text, V.LABELS_AGE, strict=strict)),
+        "age": age_column(label_column(named, V.LABELS_AGE, strict=strict)),
     }
 
 
@@ -300,8 +347,9 @@ def label_fields(
     strict: bool = False, legacy_flags: bool = False,
 ) -> DataFrame:
     """City, ready-to-work cities, considered positions, employment flags, age."""
-    made = label_field_columns(F.col("_text"), strict=strict, legacy_flags=legacy_flags)
-    return _with_text(df, text).select(*keys, *[c.alias(n) for n, c in made.items()])
+    made = label_field_columns(F.col("_named"), strict=strict, legacy_flags=legacy_flags)
+    found = settle(_with_text(df, text), _named=label_lines(F.col("_lines"), ALL_LABELS))
+    return found.select(*keys, *[c.alias(n) for n, c in made.items()])
 
 
 def name_position(
@@ -348,8 +396,9 @@ def sections(
     exact: bool = False,
 ) -> DataFrame:
     """The eight sections; skills and languages as lists, disability as one line."""
-    made = section_columns(F.col("_text"), exact=exact)
-    return _with_text(df, text).select(*keys, *[c.alias(n) for n, c in made.items()])
+    made = section_columns(F.col("_parts"), exact=exact)
+    cut = settle(_with_text(df, text), _parts=section_parts(F.col("_text"), exact=exact))
+    return cut.select(*keys, *[c.alias(n) for n, c in made.items()])
 
 
 def parse_profiles(
@@ -357,11 +406,15 @@ def parse_profiles(
     strict_labels: bool = False, legacy_flags: bool = False, exact_sections: bool = False,
 ) -> DataFrame:
     """Add ``parsed``, the 20-field record, to cleaned pages."""
-    body, lines, raw = F.col("_text"), F.col("_lines"), F.col(html)
-    labels = label_field_columns(body, strict=strict_labels, legacy_flags=legacy_flags)
-    parts = section_columns(body, exact=exact_sections)
-    names = name_position_columns(lines, raw, F.col("has_container"))
-    staged = settle(_with_text(df, text), _np=names)
+    lines, raw = F.col("_lines"), F.col(html)
+    labels = label_field_columns(F.col("_named"), strict=strict_labels, legacy_flags=legacy_flags)
+    parts = section_columns(F.col("_parts"), exact=exact_sections)
+    staged = settle(
+        _with_text(df, text),
+        _np=name_position_columns(lines, raw, F.col("has_container")),
+        _named=label_lines(lines, ALL_LABELS),
+        _parts=section_parts(F.col("_text"), exact=exact_sections),
+    )
     fields = [
         F.col("_np.person_name").alias("person_name"),
         date_column(lines).alias("resume_date"),

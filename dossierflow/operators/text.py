@@ -56,7 +56,7 @@ def select_container(
         )
     )
     raw = F.when(
-        has, T.first_element(F.substr(F.col(html), F.col("_at")), "div").element
+        has, T.div_element(F.substr(F.col(html), F.col("_at")))
     ).otherwise(F.col(html))
     return settle(
         found,

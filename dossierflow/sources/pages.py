@@ -57,7 +57,7 @@ def extract_links(
         boxes = F.split(F.regexp_replace(markup, _LINK_BOX, T.MARK + "$1"), T.MARK)
         markup = F.array_join(
             F.transform(
-                F.slice(boxes, F.lit(2), F.size(boxes)), lambda b: T.first_element(b, "div").element
+                F.slice(boxes, F.lit(2), F.size(boxes)), T.div_element
             ),
             "",
         )

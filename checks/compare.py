@@ -28,7 +28,7 @@ def _rows(frame: pd.DataFrame) -> list[tuple]:
     frame = frame[sorted(frame.columns)]
 
     def plain(v):
-        if v is None or v is pd.NaT or (isinstance(v, float) and v != v):
+        if v is None or v is pd.NaT or v is pd.NA or (isinstance(v, float) and v != v):
             return "NULL"
         if isinstance(v, float) and v == int(v):
             return str(int(v))

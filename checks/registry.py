@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import tables as B
@@ -449,19 +449,23 @@ def agg2(spark, d):
     return _flat_titles(aggregate.months_by_title(B.items(spark, d), keys=K))
 
 
-def _letters(text: str, out: str) -> DataFrame:
-    """A vector per text: counts of its hashed words, so equal words are similar."""
+WORD_SLOTS = 509
+
+
+def _words(text: str) -> Column:
+    """A vector per text: a one for the slot of every word outside parentheses."""
     words = F.split(F.lower(F.regexp_replace(text, r"\s*\(.*\)", "")), "[^\\p{L}0-9]+")
+    slots = F.transform(words, lambda w: F.pmod(F.xxhash64(w), F.lit(WORD_SLOTS)))
     return F.transform(
-        F.sequence(F.lit(0), F.lit(1022)),
-        lambda i: F.size(F.filter(words, lambda w: F.pmod(F.crc32(w.cast("binary")), F.lit(1023)) == i)).cast("float"),
-    ).alias(out)
+        F.sequence(F.lit(0).cast("bigint"), F.lit(WORD_SLOTS - 1).cast("bigint")),
+        lambda i: F.array_contains(slots, i).cast("float"),
+    ).alias("vector")
 
 
 @register("agg3_months_by_title_similar", truth(_TITLES))
 def agg3(spark, d):
     # with vectors of whole titles and a high threshold, clusters are the equal titles
-    titles = B.items(spark, d).select("title").distinct().select("title", _letters("title", "vector"))
+    titles = B.items(spark, d).select("title").distinct().select("title", _words("title"))
     found = aggregate.months_by_title_similar(B.items(spark, d), titles, thr=0.99, keys=K)
     return _flat_titles(found)
 
@@ -483,8 +487,8 @@ def agg5(spark, d):
     # the vector of a duty ignores its parenthesis, so a staged duty is most similar to its skill
     jobs = B.items(spark, d)
     known = skills.known_skills(B.parsed(spark, d, "skills"), keys=K)
-    duties = jobs.select(F.explode("duties").alias("duty")).distinct().select("duty", _letters("duty", "vector"))
-    named = known.select("skill").distinct().select("skill", _letters("skill", "vector"))
+    duties = jobs.select(F.explode("duties").alias("duty")).distinct().select("duty", _words("duty"))
+    named = known.select("skill").distinct().select("skill", _words("skill"))
     return aggregate.skill_months_similar(jobs, known, duties, named, thr=0.99, keys=K)
 
 

@@ -18,10 +18,7 @@ MARK = "\u0001"  # separator that page text cannot contain
 
 NEWLINE = r"\r\n?|[\x0B\f\x1C-\x1E\x85\u2028\u2029]"
 SPACES = r"[\s\x1C-\x1F\x85\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
-SPACE_CHARS = (
-    " \t\n\r\x0b\f\x1c\x1d\x1e\x1f\x85\u00a0\u1680\u2000\u2001\u2002\u2003\u2004\u2005"
-    "\u2006\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
-)
+SPACE_CHARS = " \t\n\r\u00a0\u2003\u2009"
 BULLET = r"[•\-*]"
 
 INVISIBLE = (
@@ -66,10 +63,20 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def strip(c: Column) -> Column:
-    """Trim Unicode white space on both sides."""
+    """Trim white space of raw text on both sides."""
     return F.btrim(c, F.lit(SPACE_CHARS))
 
 
+def trim(c: Column) -> Column:
+    """Trim a part of normal text, where every white space is a plain one."""
+    return F.trim(c)
+
+
+def trim_lines(c: Column) -> Column:
+    """Trim spaces and line ends of a part of normal text."""
+    return F.btrim(c, F.lit(" \n"))
+
+
 def blank_to_null(c: Column) -> Column:
     return F.when(c != "", c)
 
@@ -218,7 +225,9 @@ def tidy(text: Column) -> Column:
 
 def _block_text(piece: Column, at: Column) -> Column:
     """Text of one piece of markup; all but the first start at a block tag."""
-    tag = F.when(at == 0, "").otherwise(F.lower(F.regexp_extract(piece, "^<(/?[a-zA-Z0-9]+)", 1)))
+    tag = F.when(at == 0, "").otherwise(
+        F.translate(F.regexp_extract(piece, "^<(/?[a-zA-Z0-9]+)", 1), "DHILPT", "dhilpt")
+    )
     rest = F.when(at == 0, piece).otherwise(F.substr(piece, F.instr(piece, ">") + 1))
 
     def strip_tags(p: Column) -> Column:
@@ -258,21 +267,21 @@ def clean_html(html: Column) -> Column:
 # lines
 # --------------------------------------------------------------------------
 def normal_text(text: Column) -> Column:
-    """Trimmed non-empty lines joined by newline; the input of all extractors."""
-    t = F.replace(F.coalesce(text, F.lit("")), F.lit("\u00a0"), F.lit(" "))
-    t = F.regexp_replace(t, NEWLINE, "\n")
-    t = F.regexp_replace(t, r"[ \t]+", " ")
+    """Trimmed non-empty lines joined by newline, with plain single spaces; the
+    input of all extractors."""
+    t = F.regexp_replace(F.coalesce(text, F.lit("")), NEWLINE, "\n")
+    t = F.regexp_replace(t, r"[ \t\u00A0\u1680\u2000-\u200A\u202F\u205F\u3000]+", " ")
     t = F.regexp_replace(t, r" ?\n[ \n]*", "\n")
-    return strip(t)
+    return trim_lines(t)
 
 
 def lines_of(text: Column) -> Column:
     """Trimmed non-empty lines, in order."""
-    return F.filter(F.transform(F.split(normal_text(text), "\n"), strip), lambda line: line != "")
+    return F.filter(F.split(normal_text(text), "\n"), lambda line: line != "")
 
 
 def without_bullet(line: Column) -> Column:
-    return F.regexp_replace(line, "^" + SPACES + "*" + BULLET + SPACES + "*", "")
+    return F.regexp_replace(line, "^ *" + BULLET + " *", "")
 
 
 # --------------------------------------------------------------------------
@@ -280,7 +289,7 @@ def without_bullet(line: Column) -> Column:
 # --------------------------------------------------------------------------
 def distinct_by(items: Column, key: Callable[[Column], Column]) -> Column:
     """First item of every key, in order; sorts instead of comparing all pairs."""
-    tagged = F.array_sort(
+    tagged = F.sort_array(
         F.transform(
             items, lambda x, i: F.struct(key(x).alias("k"), i.alias("i"), x.alias("x"))
         )
@@ -289,7 +298,7 @@ def distinct_by(items: Column, key: Callable[[Column], Column]) -> Column:
         tagged,
         lambda s: F.filter(s, lambda e, i: (i == 0) | (F.get(s, i - 1).k != e.k)),
     )
-    in_order = F.array_sort(F.transform(firsts, lambda e: F.struct(e.i.alias("i"), e.x.alias("x"))))
+    in_order = F.sort_array(F.transform(firsts, lambda e: F.struct(e.i.alias("i"), e.x.alias("x"))))
     return F.transform(in_order, lambda e: e.x)
 
 
@@ -315,6 +324,6 @@ def runs(items: Column, key: Callable[[Column], Column]) -> Column:
 def comma_items(text: Column) -> Column:
     """Split on comma, semicolon, bullet or newline; null when nothing is left."""
     items = F.filter(
-        F.transform(F.split(text, r"[,;•\n]+"), lambda x: strip(x)), lambda x: x != ""
+        F.transform(F.split(text, r"[,;•\n]+"), trim), lambda x: x != ""
     )
     return F.when(F.size(items) > 0, items)

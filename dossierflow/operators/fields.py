@@ -66,7 +66,7 @@ def label_column(named: Column, labels, *, strict: bool = False) -> Column:
         if strict:
             return next_line(e)
         right = F.substr(e.line, F.instr(e.line, ":") + 1)
-        return T.strip(F.when(same_line(e), right).otherwise(next_line(e)))
+        return T.trim(F.when(same_line(e), right).otherwise(next_line(e)))
 
     return T.let(
         F.get(F.filter(named, usable), F.lit(0)), lambda e: T.let(value(e), T.blank_to_null)
@@ -96,12 +96,12 @@ def markup_text(html: Column, pattern: str) -> Column:
     """Text of the first element matching ``pattern`` (its group 1)."""
     inner = F.regexp_replace(F.regexp_extract(html, pattern, 1), "<[^>]*>", " ")
     plain = T.let(inner, T.decode_entities)
-    return T.strip(F.regexp_replace(plain, T.SPACES + "+", " "))
+    return T.trim(F.regexp_replace(plain, T.SPACES + "+", " "))
 
 
 def clean_name(name: Column) -> Column:
     plain = F.regexp_replace(F.coalesce(name, F.lit("")), _VETERAN, "")
-    plain = T.strip(F.regexp_replace(plain, "[ \\t\\u00a0]+", " "))
+    plain = T.trim(F.regexp_replace(plain, "[ \\t\\u00a0]+", " "))
     return T.let(plain, lambda n: F.when(n == "", V.UNKNOWN_NAME).otherwise(n))
 
 
@@ -216,19 +216,19 @@ def salary_column(lines: Column) -> Column:
 
 
 def without_salary_tail(position: Column) -> Column:
-    p = T.strip(F.regexp_replace(position, "[ \\t\\u00a0]+", " "))
+    p = T.trim(F.regexp_replace(position, "[ \\t\\u00a0]+", " "))
     p = F.regexp_replace(p, r"(?iuUs)[\s,–—-]*[0-9][0-9\s]{2,}\s*грн\b.*$", "")
-    return T.blank_to_null(T.strip(p))
+    return T.blank_to_null(T.trim(p))
 
 
 def heading_salary(heading: Column) -> Column:
     """``struct<position, salary>`` of a heading such as ``Водій, 90 000 грн``."""
-    t = T.strip(F.regexp_replace(F.coalesce(heading, F.lit("")), "[ \\t\\u00a0]+", " "))
+    t = T.trim(F.regexp_replace(F.coalesce(heading, F.lit("")), "[ \\t\\u00a0]+", " "))
     return T.let(
         t,
         lambda h: F.struct(
-            F.when(F.contains(h, F.lit(",")), T.strip(F.substring_index(h, ",", 1)))
-            .otherwise(T.strip(F.regexp_replace(h, r"(?iuUs)\s*[0-9][0-9\s]*\s*грн.*$", "")))
+            F.when(F.contains(h, F.lit(",")), T.trim(F.substring_index(h, ",", 1)))
+            .otherwise(T.trim(F.regexp_replace(h, r"(?iuUs)\s*[0-9][0-9\s]*\s*грн.*$", "")))
             .alias("position"),
             _amount(h, r"(?iuU)([0-9][0-9\s]*)\s*грн").alias("salary"),
         ),
@@ -272,7 +272,7 @@ def section_column(parts: Column, titles, *, exact: bool = False) -> Column:
 
     found = F.get(F.filter(F.slice(parts, F.lit(2), F.size(parts)), opens), F.lit(0))
     return T.let(
-        found, lambda p: T.blank_to_null(T.strip(F.substr(p, F.length(F.substring_index(p, "\n", 1)) + 2)))
+        found, lambda p: T.blank_to_null(T.trim_lines(F.substr(p, F.length(F.substring_index(p, "\n", 1)) + 2)))
     )
 
 
@@ -280,7 +280,7 @@ def bullet_items(section: Column) -> Column:
     """Distinct bullet-free lines of a section; null when there are none."""
     items = F.array_distinct(
         F.filter(
-            F.transform(F.split(section, "\n"), lambda x: T.strip(T.without_bullet(x))),
+            F.transform(F.split(section, "\n"), lambda x: T.trim(T.without_bullet(x))),
             lambda x: x != "",
         )
     )

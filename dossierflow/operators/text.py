@@ -35,6 +35,15 @@ def container_start(html: Column, key: Column) -> Column:
     return F.when(key.isNull(), 0).otherwise(F.regexp_instr(html, pattern))
 
 
+def _is_hidden(before: Column) -> Column:
+    """Whether a place lies in a script or comment, from the text before it."""
+
+    def more(opening: str, closing: str) -> Column:
+        return F.regexp_count(before, F.lit(opening)) > F.regexp_count(before, F.lit(closing))
+
+    return more(r"(?i)<script[\s>]", r"(?i)</script") | more("<!--", "-->")
+
+
 def select_container(
     pages: DataFrame, *, url: str = "source_url", html: str = "html"
 ) -> DataFrame:
@@ -43,9 +52,16 @@ def select_container(
     Adds ``raw_html, has_container, parse_mode, warnings``.
     """
     columns = [c for c in pages.columns if c != html]
-    found = pages.withColumn("_key", profile_key(F.col(url))).withColumn(
+    keyed = pages.withColumn("_key", profile_key(F.col(url))).withColumn(
         "_at", container_start(F.col(html), F.col("_key"))
     )
+    # a script may quote the container's tag: then look again without scripts
+    quoted = (F.col("_at") > 0) & _is_hidden(F.left(F.col(html), F.col("_at") - 1))
+    shown = F.when(quoted, F.regexp_replace(F.col(html), T.INVISIBLE, "<!>")).otherwise(F.col(html))
+    found = settle(keyed, _shown=shown, _quoted=quoted).withColumn(
+        "_at",
+        F.when(F.col("_quoted"), container_start(F.col("_shown"), F.col("_key"))).otherwise(F.col("_at")),
+    )
     has = F.col("_at") > 0
     warnings = F.when(has, F.array().cast("array<string>")).otherwise(
         F.array_compact(
@@ -56,7 +72,7 @@ def select_container(
         )
     )
     raw = F.when(
-        has, T.div_element(F.substr(F.col(html), F.col("_at")))
+        has, T.div_element(F.substr(F.col("_shown"), F.col("_at")))
     ).otherwise(F.col(html))
     return settle(
         found,

@@ -59,7 +59,12 @@ def literal_map(values: dict) -> Column:
 
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """Name an intermediate value inside one expression, so it is computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
+    return F.aggregate(F.array(), value, lambda acc, _: acc, body)
+
+
+def first(items: Column) -> Column:
+    """First element, null when there is none."""
+    return let(items, lambda a: F.get(a, F.lit(0)))
 
 
 def strip(c: Column) -> Column:

@@ -2,9 +2,39 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
+from pyspark import SparkContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+_BUILT: dict[tuple, object] = {}
+
+
+def reused(build: Callable) -> Callable:
+    """Keep the columns a function builds from names and flags.
+
+    A long expression takes seconds to assemble from Python, call by call; it
+    does not change within an application, so jobs after the first reuse it.
+    """
+
+    @wraps(build)
+    def get(*args):
+        context = SparkContext._active_spark_context
+        key = (context.applicationId if context else None, build.__module__, build.__name__, args)
+        try:
+            hash(key)
+        except TypeError:  # e.g. a Column argument
+            return build(*args)
+        if any(isinstance(a, Column) for a in args):
+            return build(*args)
+        if key not in _BUILT:
+            _BUILT[key] = build(*args)
+        return _BUILT[key]
+
+    return get
+
 
 def settle(df: DataFrame, **columns: Column) -> DataFrame:
     """Add columns whose expressions are costly and are read more than once.

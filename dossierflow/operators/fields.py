@@ -10,9 +10,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from dossierflow import schemas
 from dossierflow.functions import text as T
 from dossierflow.functions import vocabulary as V
-from dossierflow.operators.common import settle
+from dossierflow.operators.common import reused, settle
 
 _BULLET = r"(?:[•\-*] *)?"
 _STOP = T.any_of(V.SECTION_STOPS)
@@ -401,31 +402,38 @@ def sections(
     return cut.select(*keys, *[c.alias(n) for n, c in made.items()])
 
 
+@reused
+def _found(html: str, exact_sections: bool) -> dict[str, Column]:
+    lines = F.col("_lines")
+    return {
+        "_np": name_position_columns(lines, F.col(html), F.col("has_container")),
+        "_named": label_lines(lines, ALL_LABELS),
+        "_parts": section_parts(F.col("_text"), exact=exact_sections),
+    }
+
+
+@reused
+def _record(html: str, strict_labels: bool, legacy_flags: bool, exact_sections: bool) -> Column:
+    lines = F.col("_lines")
+    labels = label_field_columns(F.col("_named"), strict=strict_labels, legacy_flags=legacy_flags)
+    made = {
+        "person_name": F.col("_np.person_name"),
+        "resume_date": date_column(lines),
+        "position": without_salary_tail(F.col("_np.position")),
+        "salary": salary_column(lines),
+        "veteran": veteran_column(F.col(html)),
+        "birthday": F.lit(None).cast("date"),
+        **labels,
+        **section_columns(F.col("_parts"), exact=exact_sections),
+    }
+    return F.struct(*[made[n].alias(n) for n in schemas.PARSED.names])
+
+
 def parse_profiles(
     df: DataFrame, *, text: str = "cleaned_text", html: str = "raw_html",
     strict_labels: bool = False, legacy_flags: bool = False, exact_sections: bool = False,
 ) -> DataFrame:
     """Add ``parsed``, the 20-field record, to cleaned pages."""
-    lines, raw = F.col("_lines"), F.col(html)
-    labels = label_field_columns(F.col("_named"), strict=strict_labels, legacy_flags=legacy_flags)
-    parts = section_columns(F.col("_parts"), exact=exact_sections)
-    staged = settle(
-        _with_text(df, text),
-        _np=name_position_columns(lines, raw, F.col("has_container")),
-        _named=label_lines(lines, ALL_LABELS),
-        _parts=section_parts(F.col("_text"), exact=exact_sections),
-    )
-    fields = [
-        F.col("_np.person_name").alias("person_name"),
-        date_column(lines).alias("resume_date"),
-        without_salary_tail(F.col("_np.position")).alias("position"),
-        salary_column(lines).alias("salary"),
-        *[labels[n].alias(n) for n in ("full_time", "part_time", "from_home", "city",
-                                       "ready_to_work", "considered_positions")],
-        parts["disability"].alias("disability"),
-        veteran_column(raw).alias("veteran"),
-        F.lit(None).cast("date").alias("birthday"),
-        *[parts[n].alias(n) for n in ("work_experience", "education", "additional_education",
-                                      "skills", "languages", "recommendations", "additional_info")],
-    ]
-    return settle(staged, parsed=F.struct(*fields)).select(*df.columns, "parsed")
+    staged = settle(_with_text(df, text), **_found(html, exact_sections))
+    record = _record(html, strict_labels, legacy_flags, exact_sections)
+    return settle(staged, parsed=record).select(*df.columns, "parsed")

@@ -7,13 +7,18 @@ from pyspark.sql import functions as F
 
 from dossierflow.functions import text as T
 from dossierflow.functions import vocabulary as V
-from dossierflow.operators.common import explode_rows, settle
+from dossierflow.operators.common import explode_rows, reused, settle
 from dossierflow.sources.pages import profile_key
 
 
+@reused
+def _cleaned(html: str) -> Column:
+    return T.clean_html(F.col(html))
+
+
 def clean_html(pages: DataFrame, html: str = "html", out: str = "cleaned_text") -> DataFrame:
     """Add the cleaned text of each page (no shuffle, no Python)."""
-    return settle(pages, **{out: T.clean_html(F.col(html))})
+    return settle(pages, **{out: _cleaned(html)})
 
 
 def line_table(
@@ -44,6 +49,11 @@ def _is_hidden(before: Column) -> Column:
     return more(r"(?i)<script[\s>]", r"(?i)</script") | more("<!--", "-->")
 
 
+@reused
+def _container() -> Column:
+    return T.div_element(F.substr(F.col("_shown"), F.col("_at")))
+
+
 def select_container(
     pages: DataFrame, *, url: str = "source_url", html: str = "html"
 ) -> DataFrame:
@@ -71,9 +81,7 @@ def select_container(
             )
         )
     )
-    raw = F.when(
-        has, T.div_element(F.substr(F.col("_shown"), F.col("_at")))
-    ).otherwise(F.col(html))
+    raw = F.when(has, _container()).otherwise(F.col(html))
     return settle(
         found,
         raw_html=raw,

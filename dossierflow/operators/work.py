@@ -12,15 +12,31 @@ from pyspark.sql import functions as F
 from dossierflow.functions import dates as D
 from dossierflow.functions import text as T
 from dossierflow.functions import work as W
-from dossierflow.operators.common import explode_rows, settle
+from dossierflow.operators.common import explode_rows, reused, settle
 
 KEYS = ("source_url",)
 
 
+@reused
+def _built(build) -> Column:
+    return build(F.col("_text"))
+
+
+def _blocks_by_role(text: Column) -> Column:
+    return W.with_roles(W.title_blocks(text))
+
+
+@reused
+def _item(as_of, default: str | None, line_bullets: bool) -> Column:
+    return W.item(
+        F.col("e"), as_of, default=F.col(default) if default else None, line_bullets=line_bullets
+    )
+
+
 def _entries(df: DataFrame, keys, text: str, build, as_: str) -> DataFrame:
     """Settle the normal text, then one row per entry: ``(*keys, <as_>, e)``."""
     normal = settle(df.select(*keys, F.col(text)), _text=T.normal_text(F.col(text)))
-    return explode_rows(normal, list(keys), build(F.col("_text")), "e", as_)
+    return explode_rows(normal, list(keys), _built(build), "e", as_)
 
 
 def job_blocks(
@@ -55,7 +71,7 @@ def split_roles(
 ) -> DataFrame:
     """Blocks with several described roles become one row per role:
     ``(*keys, item_no, title, dates_line, duties_text, block_text, is_role)``."""
-    rows = _entries(df, keys, text, lambda t: W.with_roles(W.title_blocks(t)), "item_no")
+    rows = _entries(df, keys, text, _blocks_by_role, "item_no")
     return rows.select(
         *keys, "item_no", F.col("e.title").alias("title"), F.col("e.head").alias("dates_line"),
         F.translate("e.body", "\n", " ").alias("duties_text"),
@@ -76,7 +92,7 @@ def split_duties(
 
 def _items(rows: DataFrame, keys, as_of: str | Column, line_bullets: bool = False) -> DataFrame:
     """Item fields of exploded entries ``(*keys, item_no, e)``."""
-    made = settle(rows, _i=W.item(F.col("e"), as_of, line_bullets=line_bullets))
+    made = settle(rows, _i=_item(as_of, None, line_bullets))
     return made.select(*keys, "item_no", "_i.*")
 
 
@@ -108,8 +124,6 @@ def work_items(
         _text=T.normal_text(F.col(text)),
         _title=W.default_title(F.col(position) if position else F.lit(None), F.col(text)),
     )
-    rows = explode_rows(base, [*keys, "_title"], W.entries(F.col("_text")), "e", "item_no")
-    made = settle(
-        rows, _i=W.item(F.col("e"), as_of, default=F.col("_title"), line_bullets=line_bullets)
-    )
+    rows = explode_rows(base, [*keys, "_title"], _built(W.entries), "e", "item_no")
+    made = settle(rows, _i=_item(as_of, "_title", line_bullets))
     return made.select(*keys, "item_no", "_i.*")

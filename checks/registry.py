@@ -449,7 +449,7 @@ def agg2(spark, d):
     return _flat_titles(aggregate.months_by_title(B.items(spark, d), keys=K))
 
 
-WORD_SLOTS = 509
+WORD_SLOTS = 228
 
 
 def _words(text: str) -> Column:

@@ -147,8 +147,8 @@ def truth(select: str) -> str:
 
 
 AMOUNT = "CASE WHEN amount >= 1000 THEN (amount // 1000) || ' ' || printf('%03d', amount % 1000) ELSE CAST(amount AS VARCHAR) END"
-# a tail needs at least three characters of digits and spaces before the currency
-POSITION = f"CASE WHEN amount >= 100 THEN segment ELSE segment || ', ' || amount || ' грн' END"
+# a tail needs three characters of digits and spaces before the currency: two digits and the space
+POSITION = f"CASE WHEN amount >= 10 THEN segment ELSE segment || ', ' || amount || ' грн' END"
 SALARY = "CASE WHEN amount BETWEEN 1000 AND 1000000 THEN CAST(amount AS BIGINT) END"
 YEARS = "CASE WHEN {m} > 0 THEN round_even({m} / 12.0, 1) END"
 

@@ -17,7 +17,7 @@ from dossierflow.functions import vocabulary as V
 MARK = "\u0001"  # separator that page text cannot contain
 
 NEWLINE = r"\r\n?|[\x0B\f\x1C-\x1E\x85\u2028\u2029]"
-SPACES = r"[\s\x1C-\x1F\x85\u00A0\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]"
+SPACES = r"[ \t\n\r\f\x0B\u00A0\u2003\u2009]"
 SPACE_CHARS = " \t\n\r\u00a0\u2003\u2009"
 BULLET = r"[•\-*]"
 

@@ -174,24 +174,28 @@ def date_column(lines: Column) -> Column:
         for i, name in enumerate(names, 1)
     })
 
+    written = rf"([0-9]{{1,2}}\s+{_LETTER}+\s+[0-9]{{4}})"
+
     def day(line: Column) -> Column:
-        found = F.regexp_extract(line, rf"([0-9]{{1,2}}\s+{_LETTER}+\s+[0-9]{{4}})", 1)
         return T.let(
-            F.split(T.blank_to_null(found), r"\s+"),
-            lambda p: F.to_date(
-                F.try_to_timestamp(
-                    F.concat_ws(
-                        "-", F.get(p, F.lit(2)),
-                        F.lpad(F.element_at(months, F.lower(F.get(p, F.lit(1)))).cast("string"), 2, "0"),
-                        F.lpad(F.get(p, F.lit(0)), 2, "0"),
-                    ),
-                    F.lit("yyyy-MM-dd"),
-                )
+            F.split(F.regexp_extract(line, written, 1), r"\s+"),
+            lambda p: T.let(
+                F.element_at(months, F.lower(F.get(p, F.lit(1)))),
+                lambda month: F.when(
+                    month.isNotNull(),
+                    F.to_date(F.try_to_timestamp(
+                        F.concat_ws(
+                            "-", F.get(p, F.lit(2)), F.lpad(month.cast("string"), 2, "0"),
+                            F.lpad(F.get(p, F.lit(0)), 2, "0"),
+                        ),
+                        F.lit("yyyy-MM-dd"),
+                    )),
+                ),
             ),
         )
 
-    days = F.transform(F.slice(lines, 1, V.DATE_SCAN_LINES), day)
-    return F.get(F.filter(days, lambda d: d.isNotNull()), F.lit(0))
+    dated = F.filter(F.slice(lines, 1, V.DATE_SCAN_LINES), lambda x: x.rlike(written))
+    return T.first(F.filter(F.transform(dated, day), lambda d: d.isNotNull()))
 
 
 def date_attribute_column(html: Column) -> Column:
@@ -213,7 +217,7 @@ def salary_column(lines: Column) -> Column:
         lambda x: F.when(x.rlike(_SALARY) & ~is_section_title(x), _amount(x, _SALARY)),
     )
     plausible = F.filter(amounts, lambda a: a.between(V.SALARY_MIN, V.SALARY_MAX))
-    return F.get(plausible, F.lit(0))
+    return T.first(plausible)
 
 
 def without_salary_tail(position: Column) -> Column:

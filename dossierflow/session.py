@@ -21,6 +21,8 @@ def local_session(cores: int | str = "*", memory: str = "8g", **conf: str) -> Sp
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.shuffle.partitions", "8")
+        # plain Java case mapping: same results here, and much cheaper per string
+        .config("spark.sql.icu.caseMappings.enabled", "false")
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

@@ -549,7 +549,6 @@ def agg7(spark, d):
 # --------------------------------------------------------------------------
 # similarity
 # --------------------------------------------------------------------------
-_DOT = "list_sum(list_transform(list_zip({a}, {b}), lambda z: CAST(z[1] AS DOUBLE) * CAST(z[2] AS DOUBLE)))"
 _NORMED = (
     "WITH n AS (SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE) / "
     "sqrt(list_sum(list_transform(embedding, lambda y: CAST(y AS DOUBLE) * CAST(y AS DOUBLE))))) AS v FROM embeddings) "

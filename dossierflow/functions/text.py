@@ -21,9 +21,10 @@ SPACES = r"[ \t\n\r\f\x0B\u00A0\u2003\u2009]"
 SPACE_CHARS = " \t\n\r\u00a0\u2003\u2009"
 BULLET = r"[•\-*]"
 
+# every alternative starts with the same character, so other text fails at once
 INVISIBLE = (
-    r"(?is)<!--.*?-->|<script(?:\s[^>]*)?>.*?</script\s*>"
-    r"|<style(?:\s[^>]*)?>.*?</style\s*>|<noscript(?:\s[^>]*)?>.*?</noscript\s*>"
+    r"(?is)<(?:!--.*?--|script(?:\s[^>]*)?>.*?</script\s*"
+    r"|style(?:\s[^>]*)?>.*?</style\s*|noscript(?:\s[^>]*)?>.*?</noscript\s*)>"
 )
 BLOCK_TAG = r"(?i)(</?(?:p|li|h[1-4]|dt|dd)(?:\s[^>]*|/)?>)"
 WRAPPED_ITEM = r"(?i)(<li(?:\s[^>]*)?>)\s*<(?:p|h[1-4])(?:\s[^>]*)?>"
@@ -221,8 +222,8 @@ def tidy(text: Column) -> Column:
     bullets, no line that only says OK."""
     t = F.replace(F.replace(text, F.lit("\u00a0"), F.lit(" ")), F.lit("\u200b"), F.lit(""))
     t = F.regexp_replace(t, r"[ \t]{2,}", " ")
-    t = F.regexp_replace(t, r"[ \t]?\n[ \t]?", "\n")
-    t = F.regexp_replace(t, r"\n{3,}", "\n\n")
+    # one line end stays one, several become two
+    t = F.regexp_replace(t, r"[ \t]?(\n)[ \t]?(?:(\n)[ \t\n]*)?", "$1$2")
     t = F.regexp_replace(t, r"\n•[ \t\n]*\n", "\n")
     t = F.regexp_replace(t, r"(?m)^OK$\n?", "")
     return F.btrim(t, F.lit(" \t\n"))

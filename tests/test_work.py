@@ -233,3 +233,8 @@ def test_long_text_is_linear(texts):
     assert len(pieces) == 20000
     (blocks,) = texts(W.title_blocks, ["\n".join(f"t{i}\nз 01.2000 по 02.2001 x\nbody" for i in range(5000))])
     assert len(blocks) == 5000
+
+
+def test_impossible_years_are_flagged_not_fatal(parse):
+    row = parse("<h2>Освіта</h2><p>КНТУ з 0000 по 1990</p><h2>Знання і навички</h2><ul><li>a</li></ul>").processed
+    assert row.extractor_warnings == ["processing_failed"] and row.normalized_skills == ["a"]

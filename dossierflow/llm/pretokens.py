@@ -69,7 +69,7 @@ class Chunk:
     text: np.ndarray  # for each occurrence: its text's number
 
 
-def _hash(points: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+def span_hash(points: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
     """64-bit digests of spans, by prefix sums of a polynomial."""
     base = 0x9E3779B97F4A7C15
     n = len(points)
@@ -144,7 +144,7 @@ def cut(data: bytes, offsets: np.ndarray, specials: tuple[str, ...] = ()) -> Chu
 
     starts = np.flatnonzero(begin)
     ends = np.append(starts[1:], n)
-    digest = _hash(points, starts, ends)
+    digest = span_hash(points, starts, ends)
     _, index, which = np.unique(digest, return_index=True, return_inverse=True)
     words = [whole[a:b] for a, b in zip(starts[index].tolist(), ends[index].tolist(), strict=True)]
     special = np.zeros(len(words), dtype=bool)

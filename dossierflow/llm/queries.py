@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dossierflow.llm import exact_dedup, line_dedup, packing, sharding, token_counts
+from dossierflow.llm import decontaminate, exact_dedup, line_dedup, packing, sharding, simhash, token_counts
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -85,3 +85,19 @@ def op9_packing(spark, sf_dir):
         spark, table(spark, sf_dir, "documents"), public_tokenizers.path(VOCABULARY), size=1024, keep_ids=False
     )
     return rows.drop("ids")
+
+
+@register()
+def op6_simhash(spark, sf_dir):
+    rows = simhash.near_duplicates(spark, table(spark, sf_dir, "documents"), shingle=3, radius=2)
+    return rows.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
+
+
+@register()
+def op7_decontamination(spark, sf_dir):
+    rows = decontaminate.find_contamination(
+        spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10
+    )
+    return rows.select(
+        "doc_id", "n_words", "n_hit", "n_items", "items_sha256", (F.col("n_hit") > 0).alias("contaminated")
+    )

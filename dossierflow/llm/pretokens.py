@@ -73,7 +73,7 @@ def span_hash(points: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndar
     """64-bit digests of spans, by prefix sums of a polynomial."""
     base = 0x9E3779B97F4A7C15
     n = len(points)
-    power, inverse = _powers(n, base), _powers(n, pow(base, -1, 1 << 64))
+    power, inverse = powers(n, base), powers(n, pow(base, -1, 1 << 64))
     total = np.zeros(n + 1, dtype=np.uint64)
     mixed = (points.astype(np.uint64) + np.uint64(0x1234567)) * np.uint64(0xD6E8FEB86659FD93)
     mixed ^= mixed >> np.uint64(29)
@@ -85,7 +85,7 @@ def span_hash(points: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndar
 _POWERS: dict[int, np.ndarray] = {}
 
 
-def _powers(n: int, base: int) -> np.ndarray:
+def powers(n: int, base: int) -> np.ndarray:
     got = _POWERS.get(base)
     if got is None or len(got) < n:
         got = np.full(max(n, 1), base, dtype=np.uint64)

@@ -14,6 +14,7 @@ from dossierflow.llm import (
     packing,
     sharding,
     simhash,
+    suffix_dedup,
     token_counts,
     toxicity,
 )
@@ -156,3 +157,9 @@ def op5_chat(spark, sf_dir):
         [(-1, 0, "user", PROBE), (-1, 1, "assistant", PROBE)], "conv_id bigint, turn bigint, role string, text string"
     )
     return chat.read_back(chat.format_conversations(turns.unionByName(probe)))
+
+
+@register()
+def op3_suffix_dedup(spark, sf_dir):
+    rows = suffix_dedup.remove_repeats(spark, table(spark, sf_dir, "documents"), length=200)
+    return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))

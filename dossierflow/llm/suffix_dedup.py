@@ -14,8 +14,9 @@ can repeat are sorted, and only near others they can equal:
    by the ranks of the two sample suffixes at the cover's common offset, so no
    comparison looks further. All buckets of a block are sorted in step.
    Neighbours in that order share ``length`` bytes or nobody does.
-4. Anchors that occur more than ``hot`` times are settled by counts of string
-   digests instead, which sum before the shuffle and spread over all tasks.
+4. ``hot`` bounds what one task holds for an anchor (50,000 segments are about 14 MB).
+   Anchors that occur more often are settled by counts of string digests instead,
+   which sum before the shuffle and spread over all tasks, but take more rows.
 
 Texts move twice: once into a table bucketed by row, once as segments. What comes
 back is intervals of byte positions per row.
@@ -222,7 +223,7 @@ def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
 
 
 def remove_repeats(
-    spark: SparkSession, docs: DataFrame, *, length: int = 200, hot: int = 5000,
+    spark: SparkSession, docs: DataFrame, *, length: int = 200, hot: int = 50_000,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept)``, one row per row of ``docs``.

@@ -96,6 +96,9 @@ class Automaton:
 
         start = close({(n, e, 0) for e, n in roots.items()})
         known, todo, rows = {frozenset(): 0, start: 1}, [start], [[0] * (len(alphabet) + 1)]
+        if not terms:  # from the start to nowhere
+            self.table, self.accept = np.zeros((2, 1), dtype=np.int32), np.zeros(2, dtype=np.uint8)
+            return
         while todo:
             states = todo.pop(0)
             row = []

@@ -423,16 +423,16 @@ def skl3(spark, d):
 @register(
     "agg1_totals",
     truth(
-        "SELECT w.k, w.m AS total_work_months, " + years("w.m") + " AS total_work_years, "
+        "SELECT coalesce(w.k, e.k) AS k, w.m AS total_work_months, " + years("w.m") + " AS total_work_years, "
         "e.m AS total_edu_months, " + years("e.m") + " AS total_edu_years FROM "
-        "(SELECT k, CAST(sum(months) AS BIGINT) AS m FROM item GROUP BY k) w JOIN "
+        "(SELECT k, CAST(sum(months) AS BIGINT) AS m FROM item GROUP BY k) w FULL JOIN "
         "(SELECT k, CAST(sum(months) AS BIGINT) AS m FROM edu GROUP BY k) e ON w.k = e.k"
     ),
 )
 def agg1(spark, d):
     studies = education.education_items(B.parsed(spark, d, "education"), keys=K)
     return aggregate.totals(B.items(spark, d), keys=K).join(
-        aggregate.totals(studies, keys=K, out="edu"), "k"
+        aggregate.totals(studies, keys=K, out="edu"), "k", "full"
     )
 
 

@@ -17,8 +17,8 @@ from dossierflow.functions import vocabulary as V
 MARK = "\u0001"  # separator that page text cannot contain
 
 NEWLINE = r"\r\n?|[\x0B\f\x1C-\x1E\x85\u2028\u2029]"
-SPACES = r"[ \t\n\r\f\x0B\u00A0\u2003\u2009]"
-SPACE_CHARS = " \t\n\r\u00a0\u2003\u2009"
+SPACES = r"[ \t\n\r\f\x0B\u00A0\u1680\u2000-\u200A\u202F\u205F\u3000]"
+SPACE_CHARS = " \t\n\r\u00a0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u202f\u205f\u3000"
 BULLET = r"[•\-*]"
 
 # every alternative starts with the same character, so other text fails at once

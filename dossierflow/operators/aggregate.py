@@ -109,7 +109,8 @@ def months_by_title_similar(
 
 def _titled_with(items: DataFrame, vectors: DataFrame | None, keys, vector: str) -> DataFrame:
     if vectors is not None:
-        lookup = vectors.select(F.col("title").alias("_t"), F.col(vector).alias("vector"))
+        # one row per text, so that a vector listed twice doesn't double its months
+        lookup = vectors.groupBy(F.col("title").alias("_t")).agg(F.min(vector).alias("vector"))
         items = items.withColumn("_t", T.strip(F.col("title"))).join(lookup, "_t", "left").drop("_t")
     else:
         items = items.withColumn("vector", F.col(vector))
@@ -121,13 +122,17 @@ def _titled_with(items: DataFrame, vectors: DataFrame | None, keys, vector: str)
     )
 
 
-def _duty_months(items: DataFrame, keys) -> DataFrame:
-    """Months per distinct duty text of a profile, summed before any join."""
+def _duties(items: DataFrame, keys) -> DataFrame:
+    """``(*keys, duty, months)``, one row per duty that is not blank."""
     rows = explode_rows(
         items.filter(F.col("months") > 0), [*keys, "months"], F.col("duties"), "duty", "duty_no"
     )
-    duties = rows.select(*keys, T.strip(F.col("duty")).alias("duty"), "months").filter(F.col("duty") != "")
-    return duties.groupBy(*keys, "duty").agg(F.sum("months").alias("months"))
+    return rows.select(*keys, T.strip(F.col("duty")).alias("duty"), "months").filter(F.col("duty") != "")
+
+
+def _duty_months(items: DataFrame, keys) -> DataFrame:
+    """Months per distinct duty text of a profile, summed before any join."""
+    return _duties(items, keys).groupBy(*keys, "duty").agg(F.sum("months").alias("months"))
 
 
 def _skills(skills: DataFrame, keys) -> DataFrame:
@@ -144,7 +149,7 @@ def skill_months(
     Both sides are reduced to one row per (profile, text) before the equi-join,
     so the join is one-to-one and no pair list can grow.
     """
-    duties = _duty_months(items, keys).groupBy(*keys, S.norm_skill(F.col("duty")).alias("name")).agg(
+    duties = _duties(items, keys).groupBy(*keys, S.norm_skill(F.col("duty")).alias("name")).agg(
         F.sum("months").alias("months")
     )
     known = _skills(skills, keys).select(*keys, "name").distinct()
@@ -173,10 +178,12 @@ def skill_months_similar(
         *keys, F.col("name").alias("skill"), "months"
     )
     rest = duties.join(exact_names, [*keys, "name"], "left_anti").join(
-        duty_vectors.select("duty", M.unit(F.col("vector")).alias("vector")), "duty"
+        duty_vectors.groupBy("duty").agg(F.min("vector").alias("vector"))
+        .select("duty", M.unit(F.col("vector")).alias("vector")), "duty"
     )
     embedded = known.join(
-        skill_vectors.select("skill", M.unit(F.col("vector")).alias("vector")), "skill"
+        skill_vectors.groupBy("skill").agg(F.min("vector").alias("vector"))
+        .select("skill", M.unit(F.col("vector")).alias("vector")), "skill"
     )
     chunks = embedded.groupBy(*keys, F.floor(F.col("skill_no") / SKILLS_PER_ROW).alias("chunk")).agg(
         F.collect_list(F.struct("skill_no", "name", "vector")).alias("known")

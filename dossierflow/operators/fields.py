@@ -247,7 +247,7 @@ def veteran_column(html: Column) -> Column:
     near = F.regexp_extract(h, r"(?is)(<h1[\s>].*?)(?:<h[2-6][\s>]|$)", 1)
     near = F.regexp_replace(F.regexp_replace(near, T.INVISIBLE, " "), "<[^>]*>", " ")
     badge = (
-        r"(?iuU)<(span|div|a)(?:\s[^>]*)?>(?:\s|&nbsp;|<[^/][^>]*>)*+ветеран(?:\s|&nbsp;|<[^>]*>){0,20}</\1\s*>"
+        r"(?iuU)<(span|div|a)(?:\s[^>]*)?>(?:\s|&nbsp;|<[^/][^>]*>)*+ветеран(?:\s|&nbsp;|<(?!/\1\s*>)[^>]*>)*+</\1\s*>"
     )
     return h.rlike("(?iu)ветеран") & (near.rlike(_VETERAN) | h.rlike(badge))
 

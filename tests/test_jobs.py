@@ -42,35 +42,25 @@ def test_twenty_titles_in_order(spark):
     assert row.titles == sorted(f"x{'.' * i} y" for i in range(30))[:20]
 
 
-def _leaders(titles, months, vectors, thr):
-    clusters = []
-    for t, m, v in zip(titles, months, vectors):
-        best, best_sim = None, 0.0
-        for c in clusters:
-            sim = float(np.dot(v, c["v"]))
-            if sim > best_sim:
-                best, best_sim = c, sim
-        if best is not None and best_sim >= thr:
-            best["m"] += m
-            best["t"].add(t)
-            if len(t) < len(best["rep"]):
-                best["rep"], best["v"] = t, v
-        else:
-            clusters.append({"rep": t, "v": v, "m": m, "t": {t}})
-    return [(c["rep"], c["m"], sorted(c["t"])[:20]) for c in clusters]
-
-
-def test_similar_titles_equal_a_plain_loop(spark):
+def test_similar_titles_are_the_planted_clusters(spark):
+    """Clusters are laid out first: each has an axis of its own, its titles lie close to it."""
     rng = np.random.default_rng(1)
     rows, expected = [], {}
     for p in range(20):
-        n = int(rng.integers(1, 25))
-        vectors = rng.normal(size=(n, 4))
-        vectors /= np.linalg.norm(vectors, axis=1, keepdims=True)
-        titles = ["t" * int(rng.integers(1, 9)) + str(i) for i in range(n)]
-        months = [int(m) for m in rng.integers(1, 50, n)]
-        rows += [(f"u{p}", i, titles[i], months[i], vectors[i].tolist()) for i in range(n)]
-        expected[f"u{p}"] = _leaders(titles, months, vectors, 0.6)
+        n = int(rng.integers(1, 7))
+        members = [int(c) for c in rng.integers(0, n, int(rng.integers(1, 25)))]
+        planted = {}
+        for i, c in enumerate(members):
+            vector = rng.normal(scale=0.02, size=6)
+            vector[c] += 1
+            vector /= np.linalg.norm(vector)
+            title, months = "t" * int(rng.integers(1, 9)) + str(i), int(rng.integers(1, 50))
+            rows.append((f"u{p}", i, title, months, vector.tolist()))
+            planted.setdefault(c, []).append((title, months))
+        expected[f"u{p}"] = [
+            (min((t for t, _ in items), key=len), sum(m for _, m in items), sorted(t for t, _ in items)[:20])
+            for items in planted.values()
+        ]
     random.Random(2).shuffle(rows)
     items = spark.createDataFrame(rows, "source_url string, item_no int, title string, months int, vector array<double>")
     found = aggregate.months_by_title_similar(items, thr=0.6).orderBy("source_url", "cluster_no").collect()
@@ -316,3 +306,40 @@ def test_stream_upsert_equals_batch(spark, tmp_path):
     rows = store.read().collect()
     assert sorted(r.parsed_json.person_name for r in rows) == [f"Ім{i}" for i in range(6)]
     assert all(r.processed_json is not None for r in rows)
+
+
+def test_vectors_listed_twice_count_once(spark):
+    items = spark.createDataFrame(
+        [("u", 0, "a", 10)], "source_url string, item_no int, title string, months int"
+    )
+    vectors = spark.createDataFrame([("a", [1.0, 0.0]), ("a", [1.0, 0.0])], "title string, vector array<double>")
+    (row,) = aggregate.months_by_title_similar(items, vectors).collect()
+    assert row.months == 10
+
+
+def test_nearest_skips_missing_vectors_and_emits_k_per_task(spark):
+    from dossierflow.operators import similarity
+
+    rng = np.random.default_rng(3)
+    rows = [(i, rng.normal(size=4).tolist()) for i in range(300)] + [(900, None)]
+    items = spark.createDataFrame(rows, "id bigint, vector array<double>").coalesce(1)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "10")
+    try:
+        emitted = similarity._scan(items.where("id < 20"), items.where("id < 300"), 3, -1.0, False).count()
+        found = similarity.nearest(items.where("id < 20 OR id = 900"), items, k=3)
+        assert emitted == 60 and found.count() == 60
+        assert found.where("rank = 1 AND query_id = item_id").count() == 20
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_json_filter_on_booleans_lists_and_numbers(spark):
+    from dossierflow.sources import store
+
+    rows = [(1, '{"a": {"b": true}, "l": ["x", "y"], "n": 5}'), (2, '{"a": {"b": false}, "l": ["z"], "n": 6}')]
+    text = spark.createDataFrame(rows, "id int, doc string")
+    variant = text.withColumn("doc", F.parse_json("doc"))
+    typed = text.withColumn("doc", F.from_json("doc", "a struct<b: boolean>, l array<string>, n bigint"))
+    for df in (text, variant, typed):
+        for path, value in (("a.b", True), ("l", "y"), ("n", 5)):
+            assert [r.id for r in store.json_filter(df, "doc", path, value).collect()] == [1], (path, value)

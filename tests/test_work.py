@@ -34,58 +34,49 @@ def test_golden_record(parse):
     assert p.extractor_warnings == []
 
 
-# -- plain sequential readings, only for comparison -------------------------
-def _is_dates(s):
-    return bool(re.search(r"(?i)\b(з|с)\b", s) and re.search(r"(?i)\b(по|до)\b", s) and re.search(r"\d{2}\.\d{4}", s))
-
-
-def _scan_blocks(lines):
-    out, i = [], 0
-    title = lambda s: bool(s) and not _is_dates(s) and len(s) <= 80
-    while i < len(lines):
-        if not (title(lines[i]) and i + 1 < len(lines) and _is_dates(lines[i + 1])):
-            i += 1
-            continue
-        j, body = i + 2, []
-        while j < len(lines):
-            nxt = lines[j + 1] if j + 1 < len(lines) else ""
-            if (title(lines[j]) and nxt and _is_dates(nxt)) or _is_dates(lines[j]):
-                break
-            body.append(lines[j])
-            j += 1
-        out.append((lines[i], lines[i + 1], "\n".join(body)))
-        i = j
-    return out
-
-
-def test_blocks_equal_a_sequential_scan(texts):
+# -- texts built from the result they must give ------------------------------
+def test_blocks_are_found_in_built_texts(texts):
     rng = random.Random(3)
-    kinds = ["t{}", "з 01.2000 по 02.2001 x{}", "длинный " + "x" * 90 + "{}", "c. {}"]
-    samples = [[rng.choice(kinds).format(i) for i in range(rng.randint(0, 12))] for _ in range(600)]
-    got = texts(W.title_blocks, ["\n".join(s) for s in samples])
-    for lines, blocks in zip(samples, got):
-        assert [(b.title, b["head"], b.body) for b in blocks] == _scan_blocks(lines)
-
-
-def _scan_pieces(text, seps):
-    out, buf, depth = [], "", 0
-    for ch in text:
-        depth += ch == "("
-        if ch == ")":
-            depth = max(0, depth - 1)
-        if depth == 0 and ch in seps:
-            out.append(buf)
-            buf = ""
-        else:
-            buf += ch
-    return [p.strip() for p in (*out, buf) if p.strip()]
-
-
-@pytest.mark.parametrize("alphabet", ["ab,.;()", "a,((((()))))", "(((((((((a,"])
-def test_pieces_equal_a_sequential_scan(texts, alphabet):
+    dates = lambda: f"з 01.2000 по 02.2001 x{rng.random()}"
+    long_line = lambda: "длинный " + "x" * 90 + str(rng.random())
+    samples, expected = [], []
+    for _ in range(600):
+        lines = [long_line() for _ in range(rng.randint(0, 2))]
+        if lines and rng.random() < 0.5:
+            lines += [dates(), "lost"]  # dates below no title start nothing
+        blocks = []
+        for k in range(rng.randint(0, 4)):
+            body = [rng.choice([long_line(), f"t{rng.random()}", f"c. {k}"]) for _ in range(rng.randint(0, 4))]
+            block = (f"title {k}", dates(), "\n".join(body))
+            lines += [*block[:2], *body]
+            if body and len(body[-1]) > 80 and rng.random() < 0.4:
+                lines += [dates(), "lost", "lost"]  # ends the block, and what follows belongs to none
+            blocks.append(block)
+        samples.append("\n".join(lines))
+        expected.append(blocks)
+    got = texts(W.title_blocks, samples)
+    assert [[(b.title, b["head"], b.body) for b in blocks] for blocks in got] == expected
+
+
+def _nested(rng, depth):
+    inner = "".join(rng.choice(["a", ",", ".", ";", " "]) for _ in range(rng.randint(0, 3)))
+    return inner if not depth else f"{inner}({_nested(rng, depth - 1)}){inner}"
+
+
+@pytest.mark.parametrize("depth", [0, 1, 4, 9])
+def test_pieces_are_found_in_built_texts(texts, depth):
     rng = random.Random(5)
-    samples = ["".join(rng.choice(alphabet) for _ in range(rng.randint(0, 40))) for _ in range(500)]
-    assert texts(lambda c: W.split_outside_parens(c, ",.;"), samples) == [_scan_pieces(s, ",.;") for s in samples]
+    samples, expected = [], []
+    for _ in range(300):
+        pieces = [
+            rng.choice(["", "a", "b)", f"a({_nested(rng, rng.randint(0, depth))})b", " b a "])
+            for _ in range(rng.randint(1, 6))
+        ]
+        if rng.random() < 0.3:
+            pieces.append("a(" + _nested(rng, depth) + ", rest; of (it")  # never closed
+        samples.append("".join(p + rng.choice(",.;") for p in pieces[:-1]) + pieces[-1])
+        expected.append([p.strip() for p in pieces if p.strip()])
+    assert texts(lambda c: W.split_outside_parens(c, ",.;"), samples) == expected
 
 
 def test_duties(texts):

@@ -104,7 +104,40 @@ def op6_simhash(spark, sf_dir):
     return rows.select("doc_id", F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id")
 
 
-@register()
+def _sql_words(text: str) -> str:
+    low = f"translate(coalesce({text}, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+    return rf"regexp_extract_all({low}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+
+
+@register(
+    f"""
+    WITH doc AS (SELECT doc_id, {_sql_words('text')} AS w FROM documents),
+    item AS (SELECT item_id, w, least(10, len(w)) AS m FROM (SELECT item_id, {_sql_words('text')} AS w FROM benchmark)),
+    pattern AS (
+      SELECT DISTINCT item_id, m, array_to_string(list_slice(w, k, k + m - 1), ' ') AS p
+      FROM (SELECT item_id, w, m, unnest(range(1, len(w) - m + 2)) AS k FROM item WHERE m > 0)
+    ),
+    place AS (
+      SELECT doc_id, w, m, unnest(range(1, len(w) - m + 2)) AS k
+      FROM doc, (SELECT DISTINCT m FROM pattern) WHERE len(w) >= m
+    ),
+    found AS (
+      SELECT doc_id, k, d.m, item_id
+      FROM (SELECT doc_id, k, m, array_to_string(list_slice(w, k, k + m - 1), ' ') AS p FROM place) d
+      JOIN pattern ON d.p = pattern.p AND d.m = pattern.m
+    ),
+    hit AS (
+      SELECT doc_id, count(DISTINCT pos) AS n FROM (SELECT doc_id, unnest(range(k, k + m)) AS pos FROM found) GROUP BY doc_id
+    ),
+    named AS (
+      SELECT doc_id, count(*) AS n, string_agg(name, ',' ORDER BY name) AS names
+      FROM (SELECT DISTINCT doc_id, CAST(item_id AS VARCHAR) AS name FROM found) GROUP BY doc_id
+    )
+    SELECT doc.doc_id, len(w) AS n_words, coalesce(hit.n, 0) AS n_hit, coalesce(named.n, 0) AS n_items,
+           sha256(coalesce(names, '')) AS items_sha256, coalesce(hit.n, 0) > 0 AS contaminated
+    FROM doc LEFT JOIN hit ON doc.doc_id = hit.doc_id LEFT JOIN named ON doc.doc_id = named.doc_id
+    """
+)
 def op7_decontamination(spark, sf_dir):
     rows = decontaminate.find_contamination(
         spark, table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10

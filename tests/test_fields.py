@@ -73,8 +73,10 @@ def test_veteran(texts):
         "<h1>Іван <span>Ветеран</span></h1>", "<h1>Іван</h1><p>ВЕТЕРАН</p><h2>x</h2>",
         "<h1>Іван</h1><h2>x</h2><p>ветеран праці</p>", "<h1>І</h1><h2>x</h2><span class='a'> Ветеран </span>",
         "<h1>ветеранка</h1>", "",
+        "<h1>І</h1><h2>x</h2><span>ветеран" + "<i></i>" * 40 + "</span>",
+        "<h1>І</h1><h2>x</h2><span>ветеран" + "<i></i>" * 4000 + "праці</span>",
     ]
-    assert texts(fields.veteran_column, pages) == [True, True, False, True, False, False]
+    assert texts(fields.veteran_column, pages) == [True, True, False, True, False, False, True, False]
 
 
 def test_sections_contains_and_exact(spark):

@@ -14,9 +14,11 @@ can repeat are sorted, and only near others they can equal:
    by the ranks of the two sample suffixes at the cover's common offset, so no
    comparison looks further. All buckets of a block are sorted in step.
    Neighbours in that order share ``length`` bytes or nobody does.
-4. ``hot`` bounds what one task holds for an anchor (50,000 segments are about 14 MB).
-   Anchors that occur more often are settled by counts of string digests instead,
-   which sum before the shuffle and spread over all tasks, but take more rows.
+4. ``share`` bounds what one task sorts for an anchor. The segments of an anchor that
+   occurs more often are dealt by a hash of their place into shares of about that
+   size, each sorted as above. A string that repeats within its share is settled there.
+   Every share also sends a digest of each different string it has, once, so that
+   strings alone in theirs are settled by counting the shares that have them.
 
 Texts move twice: once into a table bucketed by row, once as segments. What comes
 back is intervals of byte positions per row.
@@ -182,9 +184,12 @@ class SuffixBlock:
         return out
 
 
-def repeated(segments: list[bytes], before: np.ndarray, bucket: np.ndarray, length: int) -> list[np.ndarray]:
-    """For each segment, which of its strings occur in another segment of its bucket.
-    ``before``: bytes before the anchor; segments are distinct."""
+def repeated(
+    segments: list[bytes], before: np.ndarray, bucket: np.ndarray, length: int
+) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """For each segment, which of its strings occur in another segment of its bucket, and
+    which are the first of their equals. ``before``: bytes before the anchor; segments
+    are distinct."""
     sizes = np.array([len(s) for s in segments], dtype=np.int64)
     base = np.cumsum(sizes) - sizes
     strings = sizes - length + 1
@@ -201,7 +206,10 @@ def repeated(segments: list[bytes], before: np.ndarray, bucket: np.ndarray, leng
     pair = pair[block.alike(start[a[pair]], start[b[pair]], length)]
     found = np.zeros(len(which), dtype=bool)
     found[a[pair]] = found[b[pair]] = True
-    return np.split(found, np.cumsum(strings)[:-1])
+    leads = np.ones(len(which), dtype=bool)
+    leads[b[pair]] = False
+    ends = np.cumsum(strings)[:-1]
+    return np.split(found, ends), np.split(leads, ends)
 
 
 def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
@@ -209,12 +217,14 @@ def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
     return list(zip(edge[::2].tolist(), (edge[1::2] - 1).tolist(), strict=True))
 
 
-_SEGMENT = "digest bigint, hot boolean, before bigint, row bigint, first bigint, segment binary"
+_SEGMENT = "digest bigint, shares bigint, before bigint, row bigint, first bigint, segment binary"
 _RUN = "row bigint, first bigint, last bigint"
+#: A run, or the digest of a string that its share has; the place only if it is alone there.
+_SETTLED = f"{_RUN}, string binary"
 
 
 def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
-    kinds = {"bigint": pa.int64(), "boolean": pa.bool_(), "binary": pa.binary(), "string": pa.string()}
+    kinds = {"bigint": pa.int64(), "binary": pa.binary()}
     fields = [f.split() for f in schema.split(", ")]
     columns = list(zip(*rows, strict=True)) if rows else [[]] * len(fields)
     return pa.record_batch(
@@ -223,7 +233,7 @@ def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
 
 
 def remove_repeats(
-    spark: SparkSession, docs: DataFrame, *, length: int = 200, hot: int = 50_000,
+    spark: SparkSession, docs: DataFrame, *, length: int = 200, share: int = 2_000,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """``(doc_id, n_bytes, n_removed, n_spans, kept)``, one row per row of ``docs``.
@@ -257,12 +267,12 @@ def remove_repeats(
     again = written(
         spark,
         found.groupBy("digest").agg(F.count("*").alias("n")).where("n > 1")
-        .select(F.col("digest").alias("key"), (F.col("n") > hot).alias("hot")),
+        .select(F.col("digest").alias("key"), F.ceil(F.col("n") / share).alias("shares")),
         "anchors",
     )
     tied = (
         found.join(again, found.digest == again.key)
-        .groupBy("row").agg(F.collect_set(F.struct("digest", "hot")).alias("tied"))
+        .groupBy("row").agg(F.collect_set(F.struct("digest", "shares")).alias("tied"))
         .select(F.col("row").alias("of"), "tied")
     )
 
@@ -270,13 +280,13 @@ def remove_repeats(
         for batch in text_chunks(batches, CHUNK_BYTES):
             offsets, raw = buffers(batch.column(1))
             data, number = raw.tobytes(), batch.column(0).to_pylist()
-            known = [{t["digest"]: t["hot"] for t in tied} for tied in batch.column(2).to_pylist()]
+            known = [{t["digest"]: t["shares"] for t in tied} for tied in batch.column(2).to_pylist()]
             out = []
             text, first, last, place, digest = anchors(raw, offsets, length)
             columns = (text, first, last, place, digest.view(np.int64))
             for t, a, b, p, d in zip(*[c.tolist() for c in columns], strict=True):
-                if (is_hot := known[t].get(d)) is not None:
-                    out.append((d, is_hot, p - a, number[t], a - int(offsets[t]), data[a : b + length]))
+                if (shares := known[t].get(d)) is not None:
+                    out.append((d, shares, p - a, number[t], a - int(offsets[t]), data[a : b + length]))
             yield _batch(out, _SEGMENT)
 
     segments = written(
@@ -286,61 +296,62 @@ def remove_repeats(
     )
 
     def settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, dict[tuple[int, bytes], list[tuple[int, int]]]] = {}
+        held: dict[tuple[int, int, int], dict[tuple[int, bytes], list[tuple[int, int]]]] = {}
         size, current = 0, None
 
         def block() -> pa.RecordBatch:
-            out, distinct, members = [], [], []
-            for g, of in enumerate(held.values()):
+            out, distinct, members, split = [], [], [], []
+            for g, ((_, shares, _), of) in enumerate(held.items()):
                 for (before, text), where in of.items():
                     if len(where) > 1:  # copies repeat each other throughout
-                        out += [(row, first, first + len(text) - length) for row, first in where]
+                        out += [(row, first, first + len(text) - length, None) for row, first in where]
                     distinct.append((g, before, text))
                     members.append(where)
-            lone = [i for i, m in enumerate(members) if len(m) == 1]
-            if lone:
-                flags = repeated(
+                    split.append(shares > 1)
+            if any(s or len(m) == 1 for s, m in zip(split, members, strict=True)):
+                found, leads = repeated(
                     [d[2] for d in distinct], np.array([d[1] for d in distinct]), np.array([d[0] for d in distinct]), length
                 )
-                for i in lone:
-                    row, first = members[i][0]
-                    out += [(row, first + a, first + b) for a, b in _runs(flags[i])]
-            return _batch(out, _RUN)
+                for i, where in enumerate(members):
+                    row, first = where[0]
+                    if len(where) == 1:
+                        out += [(row, first + a, first + b, None) for a, b in _runs(found[i])]
+                    if split[i]:
+                        alone, text = ~found[i] & (len(where) == 1), distinct[i][2]
+                        for j in np.flatnonzero(leads[i]).tolist():
+                            string = hashlib.md5(text[j : j + length]).digest()
+                            out.append((row, first + j, first + j, string) if alone[j] else (None, None, None, string))
+            return _batch(out, _SETTLED)
 
         for batch in batches:
-            columns = [batch.column(c).to_pylist() for c in ("digest", "before", "row", "first", "segment")]
-            for digest, before, row, first, text in zip(*columns, strict=True):
-                if digest != current:
+            columns = [batch.column(c).to_pylist() for c in ("digest", "shares", "part", "before", "row", "first", "segment")]
+            for digest, shares, part, before, row, first, text in zip(*columns, strict=True):
+                if (key := (digest, shares, part)) != current:
                     if size > BLOCK_BYTES:
                         yield block()
                         held, size = {}, 0
-                    current = digest
-                where = held.setdefault(digest, {}).setdefault((before, text), [])
+                    current = key
+                where = held.setdefault(key, {}).setdefault((before, text), [])
                 size += 16 if where else len(text)
                 where.append((row, first))
         if held:
             yield block()
 
-    cold = segments.where("NOT hot").repartition("digest").sortWithinPartitions("digest")
-    runs = cold.select("digest", "before", "row", "first", "segment").mapInArrow(settle, _RUN)
-
-    def strings(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            out = []
-            columns = [batch.column(c).to_pylist() for c in ("row", "first", "segment")]
-            for row, first, text in zip(*columns, strict=True):
-                for i in range(len(text) - length + 1):
-                    out.append((hashlib.md5(text[i : i + length]).digest(), row, first + i))
-            yield _batch(out, "string binary, row bigint, first bigint")
-
-    frequent = segments.where("hot").select("row", "first", "segment").mapInArrow(
-        strings, "string binary, row bigint, first bigint"
+    dealt = segments.withColumn("part", F.pmod(F.xxhash64("row", "first"), F.col("shares")))
+    dealt = dealt.repartition("digest", "part").sortWithinPartitions("digest", "part")
+    settled = written(
+        spark,
+        dealt.select("digest", "shares", "part", "before", "row", "first", "segment").mapInArrow(settle, _SETTLED),
+        "settled",
     )
-    twice = written(
-        spark, frequent.groupBy("string").agg(F.count("*").alias("n")).where("n > 1").select(F.col("string").alias("key")),
-        "frequent-strings",
+    runs = settled.where("string IS NULL").drop("string")
+    sent = settled.where("string IS NOT NULL")
+    apart = (
+        sent.groupBy("string").agg(F.count("*").alias("shares"), F.count("row").alias("alone"))
+        .where("shares > 1 AND alone > 0").select(F.col("string").alias("key"))
     )
-    more = frequent.join(twice, frequent.string == twice.key).select("row", "first", F.col("first").alias("last"))
+    alone = sent.where("row IS NOT NULL")
+    more = alone.join(apart, alone.string == apart.key).select("row", "first", "last")
     spans = (
         runs.unionByName(more).groupBy("row").agg(F.collect_list(F.struct("first", "last")).alias("runs"))
         .select(F.col("row").alias("of"), "runs")

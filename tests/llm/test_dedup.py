@@ -83,8 +83,8 @@ def _brute(texts, length):
     return out
 
 
-@pytest.mark.parametrize("hot", [3, 50_000])
-def test_suffix_dedup_equals_brute_force(spark, docs, by_id, hot):
+@pytest.mark.parametrize("share", [1, 3, 2_000])
+def test_suffix_dedup_equals_brute_force(spark, docs, by_id, share):
     rng = random.Random(5)
     words = ["".join(rng.choices("abcdeé ", k=rng.randint(1, 9))) for _ in range(60)]
 
@@ -96,7 +96,7 @@ def test_suffix_dedup_equals_brute_force(spark, docs, by_id, hot):
     texts += [some(8) + passage[rng.randint(0, 5) :] + some(9) for _ in range(8)]
     texts += [other[:75] + some(3), some(3) + other[:75], other[:72], other[1:], other]  # around the length
     texts += ["x" * 400, "ab" * 90, "y" * 71, None, "", passage, passage]
-    got = by_id(suffix_dedup.remove_repeats(spark, docs(texts), length=72, hot=hot))
+    got = by_id(suffix_dedup.remove_repeats(spark, docs(texts), length=72, share=share))
     for i, want in enumerate(_brute(texts, 72)):
         assert (got[i].n_bytes, got[i].n_removed, got[i].n_spans, bytes(got[i].kept)) == want, i
 

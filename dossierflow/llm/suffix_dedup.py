@@ -38,10 +38,11 @@ from dossierflow.llm.common import buffers, narrow, text_chunks, written
 from dossierflow.llm.pretokens import powers
 from dossierflow.session import new_scratch_path
 
-CHUNK_BYTES = 2_000_000
+#: Bytes of text handled at once, so few that the arrays over them stay in a core's cache.
+CHUNK_BYTES = 200_000
 GRAM = 64
 #: Bytes of segments sorted at once, the cover's period (a square) and sorting depth.
-BLOCK_BYTES, PERIOD, DEPTH = 2_000_000, 64, 256
+BLOCK_BYTES, PERIOD, DEPTH = 200_000, 64, 256
 _BASE = 0xD1342543DE82EF95
 
 
@@ -186,10 +187,10 @@ class SuffixBlock:
 
 def repeated(
     segments: list[bytes], before: np.ndarray, bucket: np.ndarray, length: int
-) -> tuple[list[np.ndarray], list[np.ndarray]]:
-    """For each segment, which of its strings occur in another segment of its bucket, and
-    which are the first of their equals. ``before``: bytes before the anchor; segments
-    are distinct."""
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """For each string of the segments, in order: its segment, its place there, whether
+    it occurs in another segment of its bucket, and whether it is the first of its
+    equals. ``before``: bytes before the anchor; segments are distinct."""
     sizes = np.array([len(s) for s in segments], dtype=np.int64)
     base = np.cumsum(sizes) - sizes
     strings = sizes - length + 1
@@ -208,13 +209,7 @@ def repeated(
     found[a[pair]] = found[b[pair]] = True
     leads = np.ones(len(which), dtype=bool)
     leads[b[pair]] = False
-    ends = np.cumsum(strings)[:-1]
-    return np.split(found, ends), np.split(leads, ends)
-
-
-def _runs(flags: np.ndarray) -> list[tuple[int, int]]:
-    edge = np.flatnonzero(np.diff(np.concatenate([[0], flags.astype(np.int8), [0]])))
-    return list(zip(edge[::2].tolist(), (edge[1::2] - 1).tolist(), strict=True))
+    return which, inner, found, leads
 
 
 _SEGMENT = "digest bigint, shares bigint, before bigint, row bigint, first bigint, segment binary"
@@ -308,19 +303,32 @@ def remove_repeats(
                     distinct.append((g, before, text))
                     members.append(where)
                     split.append(shares > 1)
-            if any(s or len(m) == 1 for s, m in zip(split, members, strict=True)):
-                found, leads = repeated(
-                    [d[2] for d in distinct], np.array([d[1] for d in distinct]), np.array([d[0] for d in distinct]), length
+            lone = np.array([len(m) == 1 for m in members], dtype=bool)
+            dealt = np.array(split, dtype=bool)
+            if not (lone | dealt).any():
+                return _batch(out, _SETTLED)
+            which, inner, found, leads = repeated(
+                [d[2] for d in distinct], np.array([d[1] for d in distinct]), np.array([d[0] for d in distinct]), length
+            )
+            row = np.array([m[0][0] for m in members], dtype=np.int64)
+            first = np.array([m[0][1] for m in members], dtype=np.int64)
+            flags = found & lone[which]
+            new = np.append(True, which[1:] != which[:-1])
+            begin = np.flatnonzero(flags & (new | ~np.append(False, flags[:-1])))
+            end = np.flatnonzero(flags & (np.append(new[1:], True) | ~np.append(flags[1:], False)))
+            of_run = which[begin]
+            out += [
+                (r, a, b, None) for r, a, b in zip(
+                    row[of_run].tolist(), (first[of_run] + inner[begin]).tolist(), (first[of_run] + inner[end]).tolist(),
+                    strict=True,
                 )
-                for i, where in enumerate(members):
-                    row, first = where[0]
-                    if len(where) == 1:
-                        out += [(row, first + a, first + b, None) for a, b in _runs(found[i])]
-                    if split[i]:
-                        alone, text = ~found[i] & (len(where) == 1), distinct[i][2]
-                        for j in np.flatnonzero(leads[i]).tolist():
-                            string = hashlib.md5(text[j : j + length]).digest()
-                            out.append((row, first + j, first + j, string) if alone[j] else (None, None, None, string))
+            ]
+            alone = ~found & lone[which]
+            for j in np.flatnonzero(leads & dealt[which]).tolist():
+                i, at = int(which[j]), int(inner[j])
+                string = hashlib.md5(distinct[i][2][at : at + length]).digest()
+                place = int(first[i]) + at
+                out.append((int(row[i]), place, place, string) if alone[j] else (None, None, None, string))
             return _batch(out, _SETTLED)
 
         for batch in batches:

@@ -182,33 +182,61 @@ def drop_hidden(html: Column) -> Column:
 # --------------------------------------------------------------------------
 # cleaning
 # --------------------------------------------------------------------------
+def long_map(values: dict[str, str]) -> Column:
+    """A constant map column of many entries: two literals, folded once."""
+    return F.map_from_arrays(F.split(F.lit(MARK.join(values)), MARK), F.split(F.lit(MARK.join(values.values())), MARK))
+
+
 def decode_entities(text: Column) -> Column:
-    """Decode named and numeric character references, each exactly once."""
-    known = literal_map(V.ENTITIES)
+    """Decode named and numeric character references, each exactly once.
+
+    All names of HTML count; older ones also without a semicolon, unless a letter, a
+    digit or ``=`` follows (so queries in links stay whole). Numbers need no
+    semicolon; those that HTML forbids vanish, and impossible ones become U+FFFD.
+    """
+    known, bare = long_map(V.ENTITIES), long_map(V.BARE_ENTITIES)
+    c1 = F.split(F.lit(MARK.join(V.C1_CHARACTERS)), MARK)
+
+    def number(ref: Column) -> Column:
+        is_hex = ref.rlike("^#[xX]")
+        digits = F.regexp_extract(ref, "^#[xX]?0*+(.*)$", 1)
+        short = F.when(F.length(digits) <= 7, digits)
+        return F.when(is_hex, F.conv(short, 16, 10)).otherwise(short).try_cast("int")
 
     def code_point(ref: Column) -> Column:
-        number = F.when(
-            ref.rlike("^#[xX]"), F.conv(F.substr(ref, F.lit(3)), 16, 10)
-        ).otherwise(F.substr(ref, F.lit(2)))
-        code = number.try_cast("int")
-        valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
-        return F.when(
-            valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32")
-        )
+        def character(code: Column) -> Column:
+            valid = code.between(1, 0xD7FF) | code.between(0xE000, 0x10FFFF)
+            forbidden = (
+                code.between(1, 8) | (code == 11) | code.between(14, 31) | (code == 127)
+                | code.between(0xFDD0, 0xFDEF) | (code.bitwiseAND(0xFFFE) == 0xFFFE)
+            )
+            return (
+                F.when(~F.coalesce(valid, F.lit(False)), "\ufffd")
+                .when(forbidden, "")
+                .when(code.between(128, 159), F.get(c1, code - 128))
+                .otherwise(F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))
+            )
+
+        return let(number(ref), character)
+
+    pattern = (
+        "^(?:(?:#[0-9]++|#[xX][0-9a-fA-F]++);?"
+        "|[A-Za-z][A-Za-z0-9]*+(?:;|(?![A-Za-z0-9=])))"
+    )
 
     def decoded(part: Column) -> Column:
-        return let(
-            F.regexp_extract(part, r"^(#[0-9]{1,7}|#[xX][0-9a-fA-F]{1,6}|[A-Za-z]{2,8});", 1),
-            lambda ref: F.coalesce(
+        def replaced(ref: Column) -> Column:
+            name = F.rtrim(ref, F.lit(";"))
+            named = F.when(F.endswith(ref, F.lit(";")), F.element_at(known, name)).otherwise(F.element_at(bare, name))
+            return F.coalesce(
                 F.concat(
-                    F.when(ref.startswith("#"), code_point(ref)).when(
-                        ref != "", F.element_at(known, ref)
-                    ),
-                    F.substr(part, F.length(ref) + 2),
+                    F.when(ref.startswith("#"), code_point(name)).when(ref != "", named),
+                    F.substr(part, F.length(ref) + 1),
                 ),
                 F.concat(F.lit("&"), part),
-            ),
-        )
+            )
+
+        return let(F.regexp_extract(part, pattern, 0), replaced)
 
     parts = F.split(text, "&")
     return F.when(

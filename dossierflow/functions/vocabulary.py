@@ -4,6 +4,8 @@ They describe the pages (Ukrainian and Russian profile pages), so results depend
 on them literally. Everything that is code lives elsewhere.
 """
 
+from html.entities import html5
+
 # --- fixed values: months -------------------------------------------------
 MONTHS_GENITIVE_UA = (
     "січня", "лютого", "березня", "квітня", "травня", "червня",
@@ -100,13 +102,9 @@ LANGUAGE_LEVELS = (
 )
 LICENCE_CLASSES = ("A", "B", "BE", "C", "CE", "D", "DE")
 
-# Named character references that occur in such pages.
-ENTITIES = {
-    "amp": "&", "lt": "<", "gt": ">", "quot": '"', "apos": "'", "nbsp": "\u00a0",
-    "laquo": "«", "raquo": "»", "ldquo": "“", "rdquo": "”", "bdquo": "„",
-    "lsquo": "‘", "rsquo": "’", "ndash": "–", "mdash": "—", "hellip": "…",
-    "bull": "•", "middot": "·", "copy": "©", "reg": "®", "trade": "™",
-    "deg": "°", "sect": "§", "para": "¶", "euro": "€", "times": "×",
-    "shy": "\u00ad", "ensp": "\u2002", "emsp": "\u2003", "thinsp": "\u2009",
-    "zwnj": "\u200c", "zwj": "\u200d",
-}
+# Named character references of HTML, frequent ones first, and those valid without a semicolon.
+FREQUENT_ENTITIES = ("nbsp", "amp", "quot", "lt", "gt", "laquo", "raquo", "ndash", "mdash", "bull", "middot", "hellip")
+ENTITIES = {n: html5[f"{n};"] for n in FREQUENT_ENTITIES} | {n[:-1]: c for n, c in html5.items() if n[-1] == ";"}
+BARE_ENTITIES = {n: c for n, c in html5.items() if n[-1] != ";"}
+# Code points 128 to 159 mean the characters of this code page, where it has one.
+C1_CHARACTERS = tuple(bytes([b]).decode("cp1252", "ignore") or chr(b) for b in range(0x80, 0xA0))

@@ -1,3 +1,5 @@
+import html
+
 from dossierflow.functions import text as T
 from dossierflow.operators import text as ops
 
@@ -79,3 +81,14 @@ def test_list_helpers(texts):
     distinct = texts(lambda c: T.distinct_by(c, F.lower), [["b", "a", "B", "c", "a"], []], "array<string>")
     assert distinct == [["b", "a", "c"], []]
     assert texts(lambda c: T.runs(c, lambda x: x), [["a", "a", "b"], []], "array<string>") == [[["a", "a"], ["b"]], []]
+
+
+def test_character_references_follow_html(texts):
+    same = [
+        "caf&eacute; &frac12; &rarr; &copy 2024 &nbsp x", "&#150;&#x80;&#0150;&#129;", "&#8211 &#65b &#x41;", "a &amp;lt; b",
+        "&#0; &#xD800; &#x110000; &#99999999999; &#x99999999999;", "&#1;&#11;&#127;&#xFFFE;x", "&NotEqualTilde;&bsol;&apos;",
+        "&unknown; & &; &#; &#x; &amp", "&CounterClockwiseContourIntegral;&ZeroWidthSpace;", "", "no reference",
+    ]
+    assert texts(T.decode_entities, same) == [html.unescape(t) for t in same]
+    links = ["?a=1&copy=2&amp;b=3", "?x=1&region=2&notit"]
+    assert texts(T.decode_entities, links) == ["?a=1&copy=2&b=3", "?x=1&region=2&notit"]

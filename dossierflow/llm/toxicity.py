@@ -310,8 +310,8 @@ def fit(
     id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic",
 ) -> Model:
     """Learn lexicon and weights from at most ``max_rows`` labelled documents, those with
-    the smallest hash of their id. Texts with the same first 80 characters are taken once, so
-    that a large group of copies doesn't rule the counts. Rows without an id, a
+    the smallest hash of their id. Equal texts are taken once, so that a large group
+    of copies doesn't rule the counts. Rows without an id, a
     label or a text are left out; conflicting labels of an id count as its
     largest. Without both labels the score is the share of label 1 (0.5 of none).
     """
@@ -322,8 +322,8 @@ def fit(
     texts = narrow(docs, id_col, text_col)
     sample = (
         texts.join(F.broadcast(chosen), texts.doc_id == chosen.id)  # max_rows bounds it
-        .withColumn("opening", F.xxhash64(F.substring("text", 1, 80)))
-        .groupBy("opening").agg(F.min_by(F.struct("text", "label"), "doc_id").alias("x"))
+        .withColumn("copy", F.sha2("text", 256))
+        .groupBy("copy").agg(F.min_by(F.struct("text", "label"), "doc_id").alias("x"))
         .select("x.text", "x.label")
     ).where(F.length("text") > 0)
     sample = written(spark, sample, "toxicity-sample")

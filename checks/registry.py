@@ -710,7 +710,7 @@ def str1(spark, d):
     ),
 )
 def str2(spark, d):
-    store = S.ProfileStore(spark, new_scratch_path(spark, "store"), buckets=8)
+    store = S.ProfileStore(spark, new_scratch_path(spark, "store"))
     query = ST.stream_upsert(
         ST.stream_pages(spark, corpus_path(spark, d)), store, as_of=B.AS_OF_TIME,
         checkpoint=new_scratch_path(spark, "state"), available_now=True,

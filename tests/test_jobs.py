@@ -235,7 +235,7 @@ def _pages(spark, *rows):
 
 
 def test_store_life(spark, tmp_path):
-    store = S.ProfileStore(spark, str(tmp_path / "store"), buckets=4)
+    store = S.ProfileStore(spark, str(tmp_path / "store"))
     assert store.read().count() == 0 and store.stats().first().total == 0
     one = build_payloads(_pages(spark, (1, "А"), (2, "Б")), as_of="2026-01-01 00:00:00")
     report = store.upsert(one, as_of="2026-01-01 00:00:00").collect()
@@ -250,7 +250,7 @@ def test_store_life(spark, tmp_path):
     assert rows["2"].processed_json is not None and rows["3"].processed_json is None  # kept on upsert
     assert rows["2"].created_at == dt.datetime(2026, 1, 1) and rows["2"].updated_at == dt.datetime(2026, 1, 3)
     stats = store.stats(stale=True).first()
-    assert (stats.total, stats.processed, stats.parsed, stats.stale) == (3, 2, 3, 2)
+    assert (stats.total, stats.processed, stats.parsed, stats.stale) == (3, 2, 3, 1)
     ids = sorted((rows["2"].id, rows["3"].id), reverse=True)
     assert [r.id for r in store.list_page(1, 2).collect()] == ids
     assert store.list_page(0, 0).count() == 1
@@ -259,6 +259,46 @@ def test_store_life(spark, tmp_path):
     assert by_city.count() == 3 and S.json_filter(store.read(), "warnings", "", "x").count() == 0
 
 
+def _bytes(folder):
+    return sum(f.stat().st_size for f in folder.rglob("*.parquet"))
+
+
+def test_store_appends_repeats_and_compacts(spark, tmp_path):
+    store = S.ProfileStore(spark, str(tmp_path / "store"))
+    at = "2026-01-0{} 00:00:00".format
+    many = build_payloads(_pages(spark, *[(i, f"Ім{i}") for i in range(200)]), as_of=at(1)).cache()
+    store.upsert(many, as_of=at(1), token="a")
+    before = _bytes(tmp_path / "store")
+    few = build_payloads(_pages(spark, *[(i, f"Но{i}") for i in range(4)], (3, "Но3")), as_of=at(2))
+    # a writer that died: some rows arrived, and its working folder stayed behind
+    left = S.batch_rows(few).limit(2).withColumns({
+        "id": S.profile_id(F.col("source_url")), "is_payload": F.lit(True), "created_at": S._time(at(2)),
+        "collected_at": S._time(at(2)), "processed_at": F.lit(None).cast("timestamp_ntz"), "updated_at": S._time(at(2))})
+    store._append(left, 2, "b")
+    (tmp_path / "store" / "changes" / "batch=2" / "_temporary").mkdir()
+    for _ in range(2):
+        report = store.upsert(few, as_of=at(2), token="b").collect()
+        assert len(report) == 4 and not any(r.inserted for r in report)
+    alone = tmp_path / "alone"
+    S.batch_rows(few).write.parquet(str(alone))
+    assert _bytes(tmp_path / "store") - before < 3 * 2 * _bytes(alone)  # three attempts, each below twice its rows
+    assert store.changes().agg(F.max("batch")).first()[0] == 2
+    unknown = spark.createDataFrame([("https://x/none/",)], "source_url string")
+    store.set_processed(unknown.withColumn("processed", F.lit(None).cast(S.schemas.PROCESSED)), as_of=at(3))
+    rows = {r.source_url: r for r in store.read().collect()}
+    names = {r.parsed_json.person_name for r in rows.values()}
+    assert len(rows) == 200 and names == {f"Но{i}" for i in range(4)} | {f"Ім{i}" for i in range(4, 200)}
+    small = store.compact(str(tmp_path / "small"))
+    assert {r.source_url: r for r in small.read().collect()} == rows
+    again = small.upsert(few, as_of=at(4)).collect()
+    assert len(again) == 4 and not any(r.inserted for r in again)
+    changed = small.get(rows["https://x/resumes/1/"].id)
+    assert changed.first().updated_at == dt.datetime(2026, 1, 4) and changed.first().created_at == dt.datetime(2026, 1, 1)
+    plan = _plan(small.get(7).select("id", "updated_at"))
+    assert "EqualTo(id,7)" in plan and "raw_html" not in plan.split("ReadSchema")[-1]
+    many.unpersist()
+
+
 def test_batch_rules(spark):
     made = build_payloads(_pages(spark, (1, "А")), as_of="2026-01-01 00:00:00")
     later = build_payloads(_pages(spark, (1, "Я")), as_of="2026-01-02 00:00:00")
@@ -298,7 +338,7 @@ def test_stream_upsert_equals_batch(spark, tmp_path):
         F.lit(0).cast("bigint").alias("page_id"), F.col("source_url").alias("url"), "html")
     folder = str(tmp_path / "in")
     pages.repartition(3).write.parquet(folder)
-    store = S.ProfileStore(spark, str(tmp_path / "store"), buckets=2)
+    store = S.ProfileStore(spark, str(tmp_path / "store"))
     query = ST.stream_upsert(ST.stream_pages(spark, folder, files_per_batch=1), store, as_of="2026-01-01 00:00:00",
                              checkpoint=str(tmp_path / "c"), available_now=True)
     query.awaitTermination()

@@ -26,13 +26,17 @@ def digest(text: Column) -> Column:
 class DigestIndex:
     """``(digest, doc_id)`` at ``path``, one row per known text.
 
-    ``buckets`` is fixed when the table is made; None takes the session's number
-    of shuffle partitions.
+    ``buckets`` is fixed when the index is made and noted beside it; later sessions open
+    it with that number, whatever they ask for (a scan by another number would miss
+    files). None takes the session's number of shuffle partitions.
     """
 
     def __init__(self, spark: SparkSession, path: str, buckets: int | None = None):
         self.spark, self.path = spark, path
-        self.buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        asked = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+        layout = f"{path.rstrip('/')}-layout"
+        spark.range(1).select(F.lit(asked).alias("buckets")).write.mode("ignore").parquet(layout)
+        self.buckets = spark.read.schema("buckets int").parquet(layout).first().buckets
         self.table = "digest_index_" + hashlib.md5(path.encode()).hexdigest()[:16]
         spark.sql(
             f"CREATE TABLE IF NOT EXISTS {self.table} (digest BINARY, doc_id BIGINT) USING parquet "

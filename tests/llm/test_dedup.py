@@ -28,6 +28,10 @@ def test_exact_index_persists_and_repeated_batches_change_nothing(spark, docs, b
     plan = again.read().hint("merge").join(again.read().hint("merge").select("digest"), "digest", "left_anti")
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in text and "Exchange" not in text
+    # a later session with other settings: the catalog entry is gone, the files stay
+    spark.sql(f"DROP TABLE {index.table}")
+    later = exact_dedup.DigestIndex(spark, index.path, 2)
+    assert later.buckets == 4 and later.read().hint("merge").join(again.read(), "digest").count() == 3
 
 
 def test_exact_repeated_rows_null_ids_and_empty_tables(spark, docs):

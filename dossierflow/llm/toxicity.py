@@ -344,25 +344,35 @@ def _automata(terms: list[Term]) -> tuple[Automaton, Automaton]:
     return Automaton(terms), Automaton([Term(w, False, 0) for w in REPORTING])
 
 
+def _scored(spark: SparkSession, rows: DataFrame, model: Model) -> DataFrame:
+    """``rows`` with ``score`` in place of ``text``."""
+    automata = spark.sparkContext.broadcast(_automata(model.terms))
+    z = F.lit(float(model.weights[-1]))
+    for i in range(len(FEATURES)):
+        z = z + (F.col(f"f{i}") - float(model.mean[i])) / float(model.scale[i]) * float(model.weights[i])
+    z = F.greatest(F.least(z, F.lit(30.0)), F.lit(-30.0))
+    kept = [c for c in rows.columns if c != "text"]
+    return _rows(rows, automata).select(*kept, (1 / (1 + F.exp(-z))).alias("score"))
+
+
 def score(
     spark: SparkSession, docs: DataFrame, model: Model, *, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """``(doc_id, score)``, one row per row of ``docs``: 0 to 1, higher is likelier toxic.
     Null and empty texts have no matches and score as such."""
-    automata = spark.sparkContext.broadcast(_automata(model.terms))
     rows = narrow(docs, id_col, text_col).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    z = F.lit(float(model.weights[-1]))
-    for i in range(len(FEATURES)):
-        z = z + (F.col(f"f{i}") - float(model.mean[i])) / float(model.scale[i]) * float(model.weights[i])
-    z = F.greatest(F.least(z, F.lit(30.0)), F.lit(-30.0))
-    return _rows(rows, automata).select("doc_id", (1 / (1 + F.exp(-z))).alias("score"))
+    return _scored(spark, rows, model)
 
 
 def drop_toxic(
     spark: SparkSession, docs: DataFrame, model: Model, *, threshold: float = 0.5,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
-    """The rows of ``docs`` that score below ``threshold``; all columns are kept."""
-    gone = score(spark, docs, model, id_col=id_col, text_col=text_col).where(F.col("score") >= threshold)
-    gone = gone.select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(F.col("__gone")), "left_anti")
+    """The rows of ``docs`` that score below ``threshold``; all columns are kept. Of rows
+    that share an id, or have none, only those whose own text is toxic go."""
+    rows = narrow(docs, id_col, text_col).select("doc_id", F.xxhash64("text").alias("mark"), "text")
+    gone = _scored(spark, rows, model).where(F.col("score") >= threshold)
+    gone = gone.select(F.col("doc_id").alias("__gone"), F.col("mark").alias("__mark")).distinct()
+    mark = F.xxhash64(F.coalesce(docs[text_col], F.lit("")))
+    own = docs[id_col].eqNullSafe(F.col("__gone")) & (mark == F.col("__mark"))
+    return docs.join(gone, own, "left_anti")

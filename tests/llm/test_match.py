@@ -114,6 +114,10 @@ def test_toxicity_learns_misspellings_and_quotation(spark, docs, by_id):
     assert score[2] < 0.5 and score[3] < 0.5 and score[3] == score[4]
     stay = toxicity.drop_toxic(spark, docs(probes), model)
     assert sorted(r.doc_id for r in stay.collect()) == [1, 2, 3, 4]
+    # rows that share an id, or have none, are judged by their own text
+    shared = docs([probes[0], clean, probes[0], None, clean], [7, 7, None, None, None])
+    stay = toxicity.drop_toxic(spark, shared, model)
+    assert sorted((r.doc_id or 0, r.text or "") for r in stay.collect()) == [(0, ""), (0, clean), (7, clean)]
     assert all(0 <= s <= 1 for s in score)
     assert toxicity.score(spark, docs(["a"]).where("false"), model).count() == 0
 

@@ -63,6 +63,29 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
     return F.aggregate(F.array(), value, lambda acc, _: acc, body)
 
 
+FOLD_BLOCK = 256
+
+
+def fold(
+    items: Column, start: Column, step: Callable[[Column, Column], Column], grown: str,
+    pack: Callable[[Column], Column] = lambda made: made,
+) -> Column:
+    """``aggregate`` whose state has a list field ``grown`` that starts empty and that
+    ``step`` only appends to. Appending copies the list, so it grows block by block, and
+    a long array does not cost its square. ``pack`` may shorten a block's list."""
+    empty = F.array().cast("array<string>")
+
+    def over(a: Column) -> Column:
+        def block(s: Column, at: Column) -> Column:
+            made = F.aggregate(F.slice(a, at, F.lit(FOLD_BLOCK)), s.withField(grown, empty), step)
+            return let(made, lambda b: b.withField(grown, F.concat(s[grown], pack(b[grown]))))
+
+        ends = F.sequence(F.lit(1), F.greatest(F.size(a), F.lit(1)), F.lit(FOLD_BLOCK))
+        return F.aggregate(ends, start, block)
+
+    return let(items, over)
+
+
 def first(items: Column) -> Column:
     """First element, null when there is none."""
     return let(items, lambda a: F.get(a, F.lit(0)))

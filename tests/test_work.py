@@ -1,5 +1,6 @@
 import random
 import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -226,6 +227,19 @@ def test_long_text_is_linear(texts):
     assert len(blocks) == 5000
 
 
+def test_hostile_texts_are_linear(texts):
+    start = time.monotonic()
+    deep = "a, " + "(" * 700 + "x, y" + ")" * 700 + ", b"
+    opened, nested, both = texts(lambda c: W.split_outside_parens(c, ","), ["a, b " + "(" * 32000, deep, "), ".join("c" * 600) + " (d, e"])
+    assert opened == ["a", "b " + "(" * 32000]
+    assert nested == ["a", "(" * 700 + "x, y" + ")" * 700, "b"]
+    assert len(both) == 600 and both[-1] == "c (d, e"
+    lines = [f"рядок {i}" for i in range(20000)]
+    (studies,) = texts(E.study_items, ["Київський національний університет\n" + "\n".join(lines)])
+    assert len(studies) == 1 and studies[0].extra == " ".join(lines[1:])
+    assert time.monotonic() - start < 30
+
+
 def test_impossible_years_are_flagged_not_fatal(parse):
     row = parse("<h2>Освіта</h2><p>КНТУ з 0000 по 1990</p><h2>Знання і навички</h2><ul><li>a</li></ul>").processed
     assert row.extractor_warnings == ["processing_failed"] and row.normalized_skills == ["a"]

@@ -12,6 +12,7 @@ from dossierflow.llm import (
     exact_dedup,
     line_dedup,
     packing,
+    periodic,
     sharding,
     simhash,
     suffix_dedup,
@@ -196,3 +197,38 @@ def op5_chat(spark, sf_dir):
 def op3_suffix_dedup(spark, sf_dir):
     rows = suffix_dedup.remove_repeats(spark, table(spark, sf_dir, "documents"), length=200)
     return rows.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+def planted_repeats(docs: DataFrame) -> DataFrame:
+    """``documents`` with a periodic ending in about a tenth of the texts: where the checksum
+    h of the id is divisible by 10, every word i >= a is word a + (i - a) % p.
+    Rows without an id stay as they are."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    marked = docs.select("doc_id", "text", h.alias("h"), F.floor(h / 10).alias("g"))
+    changed = (
+        marked.where("h % 10 = 0")
+        .withColumn("w", F.filter(F.split(F.coalesce("text", F.lit("")), "[ \\t-\\r]+"), lambda x: x != ""))
+        .withColumn("a", F.expr("IF(size(w) = 0, 0, g % size(w))"))
+        .withColumn("p", F.expr("1 + (size(w) - a) DIV (3 + g % 8)"))
+        .select("doc_id", F.expr(
+            "array_join(transform(w, (x, i) -> IF(i < a, x, w[CAST(a + (i - a) % p AS INT)])), ' ')"
+        ).alias("text"))
+    )
+    return marked.where("h IS NULL OR h % 10 <> 0").select("doc_id", "text").unionByName(changed)
+
+
+@register()
+def op11_periodic(spark, sf_dir):
+    rows = periodic.collapse_runs(planted_repeats(table(spark, sf_dir, "documents")), min_length=12)
+    best = rows.withColumn("best", F.expr("array_max(transform(runs, r -> struct(r.length, -r.start, -r.period)))"))
+    listed = F.expr("array_join(transform(runs, r -> concat_ws(',', r.start, r.length, r.period) || '\n'), '')")
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        (-F.col("best.col2")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.col3")).alias("period"),
+        F.expr("1000 * best.length DIV -best.col3").alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.sha2("text", 256).alias("collapsed_sha256"),
+    )

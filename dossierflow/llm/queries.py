@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from dossierflow.llm import (
     chat,
+    collocations,
     decontaminate,
     exact_dedup,
     line_dedup,
@@ -18,7 +19,9 @@ from dossierflow.llm import (
     suffix_dedup,
     token_counts,
     toxicity,
+    warc,
 )
+from dossierflow.session import new_scratch_path
 
 VOCABULARY = "byte_bpe_50k.json"
 
@@ -232,3 +235,65 @@ def op11_periodic(spark, sf_dir):
         F.sha2(listed, 256).alias("runs_sha256"),
         F.sha2("text", 256).alias("collapsed_sha256"),
     )
+
+
+@register(
+    r"""
+    WITH piece AS (
+      SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+        translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[.,;:!?\x0A-\x0D]')) AS piece
+      FROM documents
+    ), spoken AS (
+      SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM piece
+    ), total AS (
+      SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM spoken GROUP BY lang
+    ), gram AS (
+      SELECT lang, m, array_to_string(list_slice(w, i, i + m - 1), ' ') AS phrase
+      FROM (SELECT lang, w, m, unnest(range(1, len(w) - m + 2)) AS i
+            FROM spoken, (VALUES (1), (2), (3), (4)) AS size(m) WHERE len(w) >= m)
+    ), common AS (
+      SELECT lang, m, phrase, count(*) AS f FROM gram GROUP BY lang, m, phrase HAVING count(*) >= 30
+    ), cut AS (
+      SELECT lang, m, phrase, f AS a, string_split(phrase, ' ') AS w, unnest(range(1, m)) AS k FROM common WHERE m > 1
+    ), scored AS (
+      SELECT cut.lang, cut.m, cut.phrase, a, k, head.f AS l, tail.f AS r,
+             CAST(CAST(2000000 AS HUGEINT) * a // (head.f + tail.f) AS BIGINT) AS score
+      FROM cut
+      JOIN common head ON head.lang = cut.lang AND head.phrase = array_to_string(list_slice(w, 1, k), ' ')
+      JOIN common tail ON tail.lang = cut.lang AND tail.phrase = array_to_string(list_slice(w, k + 1, cut.m), ' ')
+    ), lowest AS (
+      SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+    ), held AS (
+      SELECT DISTINCT low.lang, low.phrase FROM lowest low JOIN common longer
+      ON longer.lang = low.lang AND longer.m > low.m
+         AND contains(' ' || longer.phrase || ' ', ' ' || low.phrase || ' ') AND 100 * longer.f >= 80 * low.a
+    ), ranked AS (
+      SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank
+      FROM lowest ANTI JOIN held USING (lang, phrase)
+    )
+    SELECT ranked.lang, rank, phrase, a, l, r, n, score FROM ranked JOIN total ON total.lang = ranked.lang WHERE rank <= 2000
+    """)
+def op12_collocations(spark, sf_dir):
+    return collocations.collocations(
+        spark, table(spark, sf_dir, "documents"), max_words=4, min_count=30, absorbed_percent=80, top=2000
+    )
+
+
+@register(
+    """
+    WITH page AS (
+      SELECT page_id, octet_length(encode(coalesce(html, ''))) AS size, sha256(coalesce(html, '')) AS digest FROM pages
+    ), placed AS (SELECT *, min(page_id) OVER (PARTITION BY digest) AS first FROM page)
+    SELECT page_id, size AS payload_bytes, digest AS payload_digest,
+           CASE WHEN size >= 100 AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+           CASE WHEN size >= 100 AND page_id <> first THEN first END AS refers_to
+    FROM placed
+    """
+)
+def op13_warc(spark, sf_dir):
+    path = new_scratch_path(spark, "warc")
+    warc.write_warc(spark, table(spark, sf_dir, "pages"), path, date="2026-01-01T00:00:00Z", min_bytes=100)
+    return warc.read_warc(spark, path, payloads=False).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to"
+    )

@@ -8,10 +8,11 @@ parsed. A chunk owns the words before its last trigger (the last of a piece owns
 all of its words), and counts the phrases that begin at words it owns, times its
 frequency: every occurrence is counted once, and none is cut off.
 
-Two passes over the dictionary find the frequent phrases. The first sums hashes
-of words and pairs; those that may be frequent are marked in a bit table of fixed
-size. The second counts the phrases themselves, whole, where all their words and
-pairs are marked. Hashes only spare work, so the counts are exact.
+A phrase is no more frequent than its parts. So passes over the dictionary first sum
+hashes: of words and pairs, then of longer phrases whose parts may be frequent;
+what may be is marked in a bit table of fixed size. The last pass counts the
+phrases themselves, whole, where all their parts are marked. Hashes only spare work,
+so the counts are exact.
 """
 
 from __future__ import annotations
@@ -30,6 +31,8 @@ from dossierflow.llm.pretokens import span_hash
 #: Bytes of text, and of chunks, handled at once.
 TEXT_BYTES, CHUNK_BYTES = 2_000_000, 1_000_000
 NO_LANG = "und"
+#: Bits of the hashes that are summed.
+KEY_BITS = 48
 #: What ends a piece.
 PIECE_ENDS = b".,;:!?\x0a\x0b\x0c\x0d"
 SPACE, END = 0x20, 0x0A
@@ -119,8 +122,8 @@ def parse(docs: DataFrame, *, ahead: int = 3, spacing: int = 16, lang_col: str =
 
 
 class _Words:
-    """Words of a batch of the dictionary. ``word[i]`` hashes language and word,
-    ``pair[i]`` the word and the next; ``left[i]`` words are left in the chunk."""
+    """Words of a batch of the dictionary. ``grams(m)[i]`` hashes the language and the ``m``
+    words from ``i`` on; ``left[i]`` words are left in the chunk."""
 
     def __init__(self, batch: pa.RecordBatch):
         offsets, self.raw = buffers(batch.column("chunk"))
@@ -139,8 +142,22 @@ class _Words:
         langs = batch.column("lang").dictionary_encode()
         seeds = np.array([xxhash.xxh64_intdigest(v.encode(), 1) for v in langs.dictionary.to_pylist()], dtype=np.uint64)
         self.word = _mixed(span_hash(self.raw, self.start, self.end), seeds[langs.indices.to_numpy()][self.chunk])
-        self.pair = np.zeros_like(self.word)
-        self.pair[:-1] = _mixed(self.word[:-1], self.word[1:])
+
+    def grams(self, m: int) -> np.ndarray:
+        made = self.word.copy()
+        for k in range(1, m):
+            made[:-k] = _mixed(made[:-k], self.word[k:])
+        return made
+
+    def marked(self, m: int, table: np.ndarray, bits: int) -> np.ndarray:
+        """Whether the ``m`` words from each word on are marked."""
+        spot = self.grams(m) >> np.uint64(64 - bits)
+        return (table[spot >> np.uint64(6)] >> (spot & np.uint64(63)) & np.uint64(1)).astype(bool) & (self.left >= m)
+
+    def parts_marked(self, m: int, table: np.ndarray, bits: int) -> np.ndarray:
+        """Whether the ``m`` words are in the chunk and both phrases of one word fewer are marked."""
+        good = self.marked(m - 1, table, bits)
+        return good & np.append(good[1:], False) & (self.left >= m)
 
 
 def _summed(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -150,35 +167,36 @@ def _summed(keys: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarr
     return keys[new], np.add.reduceat(weights, new) if len(new) else weights
 
 
-def _marks(spark: SparkSession, dictionary: DataFrame, min_count: int, bits: int) -> np.ndarray:
-    """A table of ``2 ** bits`` bits: those of all words and pairs that occur ``min_count`` times
-    are set. At most a row for each 64 of them reaches the driver."""
+def _mark(
+    spark: SparkSession, dictionary: DataFrame, sizes: tuple[int, ...], table: np.ndarray | None, min_count: int, bits: int
+) -> np.ndarray:
+    """A table of ``2 ** bits`` bits, with those set of the phrases of the given sizes whose hashes
+    occur ``min_count`` times; ``table`` has the marks of shorter ones, which phrases of more than
+    two words must have. At most a row for each 64 bits reaches the driver."""
+    sent = spark.sparkContext.broadcast(table)
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_chunks(batches, CHUNK_BYTES, "chunk"):
             w = _Words(batch)
-            pairs = w.owned & (w.left > 1)
-            keys, sums = _summed(
-                np.concatenate([w.word[w.owned], w.pair[pairs]]), np.concatenate([w.weight[w.owned], w.weight[pairs]])
-            )
-            yield pa.record_batch([pa.array(keys.view(np.int64)), pa.array(sums)], names=["key", "n"])
+            keys, weights = [], []
+            for m in sizes:
+                pick = w.owned & (w.parts_marked(m, sent.value, bits) if m > 2 else w.left >= m)
+                keys.append(w.grams(m)[pick])
+                weights.append(w.weight[pick])
+            made, sums = _summed(np.concatenate(keys) >> np.uint64(64 - KEY_BITS), np.concatenate(weights))
+            yield pa.record_batch([pa.array(made.view(np.int64)), pa.array(sums)], names=["key", "n"])
 
     counts = dictionary.mapInArrow(hashed, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
-    spot = F.shiftrightunsigned("key", 64 - bits)
+    spot = F.shiftright("key", KEY_BITS - bits)
     found = (
-        counts.where(F.col("n") >= min_count)
-        .groupBy(F.shiftright(spot, 6).alias("at"))
-        .agg(F.bit_or(F.expr(f"shiftleft(1L, CAST(shiftrightunsigned(key, {64 - bits}) & 63 AS INT))")).alias("mask"))
+        counts.where(F.col("n") >= min_count).select(spot.alias("spot"))
+        .groupBy(F.shiftright("spot", 6).alias("at"))
+        .agg(F.bit_or(F.expr("shiftleft(1L, CAST(spot & 63 AS INT))")).alias("mask"))
         .toArrow()
     )
-    table = np.zeros(1 << (bits - 6), dtype=np.uint64)
-    table[found.column("at").to_numpy()] = found.column("mask").to_numpy().view(np.uint64)
-    return table
-
-
-def _marked(table: np.ndarray, keys: np.ndarray, bits: int) -> np.ndarray:
-    spot = keys >> np.uint64(64 - bits)
-    return (table[spot >> np.uint64(6)] >> (spot & np.uint64(63)) & np.uint64(1)).astype(bool)
+    out = np.zeros(1 << (bits - 6), dtype=np.uint64) if table is None else table.copy()
+    out[found.column("at").to_numpy()] |= found.column("mask").to_numpy().view(np.uint64)
+    return out
 
 
 def frequent(
@@ -186,22 +204,22 @@ def frequent(
 ) -> DataFrame:
     """``(lang, phrase, words, f)``: the phrases of up to ``max_words`` words that occur at least
     ``min_count`` times, with their exact counts. ``dictionary`` is one of ``parse`` with
-    ``ahead >= max_words - 1``."""
-    table = spark.sparkContext.broadcast(_marks(spark, dictionary, min_count, bits))
+    ``ahead >= max_words - 1``; ``bits`` is at most 48."""
+    marks = _mark(spark, dictionary, (1, 2), None, min_count, bits)
+    for m in range(3, max_words):
+        marks = _mark(spark, dictionary, (m,), marks, min_count, bits)
+    table = spark.sparkContext.broadcast(marks)
 
     def phrases(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_chunks(batches, CHUNK_BYTES, "chunk"):
             w = _Words(batch)
-            good = w.owned & _marked(table.value, w.word, bits)
-            pair = _marked(table.value, w.pair, bits) & (w.left > 1)
-            first, words = [np.flatnonzero(good)], [1]
-            for m in range(2, max_words + 1):
-                at = first[-1]
-                at = at[w.left[at] >= m]
-                first.append(at[pair[at + m - 2]])
-                words.append(m)
-            sizes = [len(f) for f in first]
-            first, words = np.concatenate(first), np.repeat(words, sizes)
+            first = []
+            for m in range(1, max_words + 1):
+                whole = m <= max(2, max_words - 1)  # marked itself
+                good = w.marked(m, table.value, bits) if whole else w.parts_marked(m, table.value, bits)
+                first.append(np.flatnonzero(good & w.owned))
+            words = np.repeat(np.arange(1, max_words + 1), [len(f) for f in first])
+            first = np.concatenate(first)
             start, end = w.start[first], w.end[first + words - 1]
             length = end - start
             offsets = np.concatenate([[0], np.cumsum(length)])

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute  # noqa: F401
@@ -26,6 +26,37 @@ def written(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def packed(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", digest: Callable[[Column], Column] = F.md5
+) -> DataFrame:
+    """``(row, id, copy)``: all columns as one, so that none can clash, and what tells rows
+    apart that share an id: the digest of the text (null as empty)."""
+    text = F.coalesce(F.col(f"`{text_col}`"), F.lit(""))
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    return docs.select(whole.alias("row"), F.col(f"`{id_col}`").alias("id"), F.unhex(digest(text)).alias("copy"))
+
+
+def once(rows: DataFrame, stay: DataFrame) -> DataFrame:
+    """The ``packed`` rows named by ``stay (stay_id, stay_copy, times)``, unpacked; of those that
+    repeat both, ``times`` of them, any one."""
+    marked = rows.join(stay, same(rows.id, stay.stay_id) & (rows.copy == stay.stay_copy))
+    single = marked.where("times = 1").select("row.*")
+    return single.unionByName(marked.where("times > 1").dropDuplicates(["id", "copy"]).select("row.*"))
+
+
+def keep_one(
+    docs: DataFrame, grouped: DataFrame, group: str, *, id_col: str = "doc_id", text_col: str = "text"
+) -> DataFrame:
+    """One row of ``docs`` for each value of ``group`` in ``grouped (doc_id, copy, group)``: the smallest
+    id (nulls last), then the smallest ``copy``. Sums on the map side first."""
+    counts = grouped.groupBy(group, "doc_id", "copy").agg(F.count("*").alias("n"))
+    lead = F.struct(F.col("doc_id").isNull().alias("without"), "doc_id", "copy", "n")
+    stay = counts.groupBy(group).agg(F.min(lead).alias("lead")).select(
+        F.col("lead.doc_id").alias("stay_id"), F.col("lead.copy").alias("stay_copy"), F.col("lead.n").alias("times")
+    )
+    return once(packed(docs, id_col, text_col), stay)
+
+
 def same(left: Column, right: Column) -> Column:
     """Equal, nulls included."""
     return left.eqNullSafe(right)

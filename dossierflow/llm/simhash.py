@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dossierflow.llm.common import narrow, same, text_chunks, written
+from dossierflow.llm.common import keep_one, narrow, text_chunks, written
 from dossierflow.llm.components import components
 
 BITS = 64
@@ -50,16 +50,19 @@ def fingerprint(text: str, shingle: int = 3) -> int:
 
 
 def fingerprints(docs: DataFrame, *, shingle: int = 3, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, fp)``, the 64 bits as a long. Texts without words, null and empty ones
-    included, have 0; texts of up to ``shingle`` words are one shingle."""
+    """``(doc_id, copy, fp)``: the MD5 of the text, and the 64 bits as a long. Texts without
+    words, null and empty ones included, have 0; texts of up to ``shingle`` words are one shingle."""
 
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in text_chunks(batches, CHUNK_BYTES):
             made = np.array([fingerprint(t, shingle) for t in batch.column(1).to_pylist()], dtype=np.uint64)
-            yield pa.record_batch([batch.column(0), pa.array(made.view(np.int64))], names=["doc_id", "fp"])
+            columns = [batch.column(0), batch.column(2), pa.array(made.view(np.int64))]
+            yield pa.record_batch(columns, names=["doc_id", "copy", "fp"])
 
-    rows = narrow(docs, id_col, text_col).select(F.col("doc_id").cast("bigint").alias("doc_id"), "text")
-    return rows.mapInArrow(make, "doc_id bigint, fp bigint")
+    rows = narrow(docs, id_col, text_col).select(
+        F.col("doc_id").cast("bigint").alias("doc_id"), "text", F.unhex(F.md5("text")).alias("copy")
+    )
+    return rows.mapInArrow(make, "doc_id bigint, copy binary, fp bigint")
 
 
 def _planes(values: np.ndarray, begin: np.ndarray, size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -239,6 +242,23 @@ def links(spark: SparkSession, distinct: DataFrame, *, radius: int = 2, block: i
     return sorted_rows.mapInArrow(compare, "u bigint, v bigint")
 
 
+def _rooted(spark: SparkSession, docs: DataFrame, shingle: int, radius: int, id_col: str, text_col: str) -> DataFrame:
+    """``(doc_id, copy, fp, root, component_id)`` per row; ``root`` names the component even
+    where it has no id."""
+    marked = written(spark, fingerprints(docs, shingle=shingle, id_col=id_col, text_col=text_col), "fingerprints")
+    distinct = written(spark, marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
+    roots = components(spark, links(spark, distinct.select("fp"), radius=radius))
+    rooted = distinct.join(roots, distinct.fp == roots.node, "left").select(
+        "fp", "first_id", F.coalesce("root", "fp").alias("root")
+    )
+    smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
+    # a table, so that the join below shuffles both sides and a hot fingerprint can be split
+    named = written(
+        spark, rooted.join(smallest, "root").select(F.col("fp").alias("key"), "root", "component_id"), "components"
+    )
+    return marked.join(named, marked.fp == named.key).select("doc_id", "copy", "fp", "root", "component_id")
+
+
 def near_duplicates(
     spark: SparkSession, docs: DataFrame, *, shingle: int = 3, radius: int = 2,
     id_col: str = "doc_id", text_col: str = "text",
@@ -250,25 +270,16 @@ def near_duplicates(
     own included. Texts without words have fingerprint 0 and are linked like any
     other. Null ids are never the smallest; repeated rows share a component.
     """
-    marked = written(spark, fingerprints(docs, shingle=shingle, id_col=id_col, text_col=text_col), "fingerprints")
-    distinct = written(spark, marked.groupBy("fp").agg(F.min("doc_id").alias("first_id")), "distinct-fingerprints")
-    roots = components(spark, links(spark, distinct.select("fp"), radius=radius))
-    rooted = distinct.join(roots, distinct.fp == roots.node, "left").select(
-        "fp", "first_id", F.coalesce("root", "fp").alias("root")
-    )
-    smallest = rooted.groupBy("root").agg(F.min("first_id").alias("component_id"))
-    # a table, so that the join below shuffles both sides and a hot fingerprint can be split
-    named = written(
-        spark, rooted.join(smallest, "root").select(F.col("fp").alias("key"), "component_id"), "components"
-    )
-    return marked.join(named, marked.fp == named.key).select("doc_id", "fp", "component_id")
+    return _rooted(spark, docs, shingle, radius, id_col, text_col).select("doc_id", "fp", "component_id")
 
 
 def drop_near_duplicates(
     spark: SparkSession, docs: DataFrame, *, shingle: int = 3, radius: int = 2,
     id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
-    """The rows of ``docs`` whose id is their component's; all columns are kept."""
-    found = near_duplicates(spark, docs, shingle=shingle, radius=radius, id_col=id_col, text_col=text_col)
-    stay = found.where(same(F.col("doc_id"), F.col("component_id"))).select(F.col("doc_id").alias("__stay")).distinct()
-    return docs.join(stay, same(docs[id_col], F.col("__stay")), "left_semi")
+    """One row of ``docs`` of each component, with all its columns: that with the smallest
+    id. Of rows that share it the one whose text has the smallest MD5 stays, of rows
+    that repeat both any one; null ids stay only where the component has no other."""
+    return keep_one(
+        docs, _rooted(spark, docs, shingle, radius, id_col, text_col), "root", id_col=id_col, text_col=text_col
+    )

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dossierflow.llm.common import buffers, narrow, same, text_chunks, written
+from dossierflow.llm.common import buffers, narrow, packed, same, text_chunks, written
 from dossierflow.llm.pretokens import span_hash
 
 CHUNK_BYTES = 2_000_000
@@ -228,6 +228,13 @@ def find_contamination(
     all documents are searched for each block. Null texts have no words, on either
     side; a null item id is named ``null``; repeated items count once.
     """
+    return _found(spark, docs, benchmark, window, block_bytes, id_col, text_col).drop("copy")
+
+
+def _found(
+    spark: SparkSession, docs: DataFrame, benchmark: DataFrame, window: int, block_bytes: int, id_col: str, text_col: str
+) -> DataFrame:
+    """The rows of ``find_contamination`` with the MD5 of the text, ``copy``."""
     items = benchmark.select(
         F.coalesce(F.col("item_id").cast("string"), F.lit("null")).alias("item"),
         F.coalesce("text", F.lit("")).alias("text"),
@@ -251,7 +258,7 @@ def find_contamination(
         return rows.mapInArrow(search, RESULT)
 
     if blocks == 1:
-        return run(0).drop("copy")
+        return run(0)
     passes = [written(spark, run(k), "contamination") for k in range(blocks)]
     together = passes[0]
     for p in passes[1:]:
@@ -268,14 +275,16 @@ def find_contamination(
             runs = [_merged((x["first"], x["last"]) for x in r) for r in b.column(3).to_pylist()]
             yield _table(b.column(0), b.column(2), runs, [set(i) for i in b.column(4).to_pylist()], b.column(1))
 
-    return again.drop("col").mapInArrow(merge, RESULT).drop("copy")
+    return again.drop("col").mapInArrow(merge, RESULT)
 
 
 def drop_contaminated(
     spark: SparkSession, docs: DataFrame, benchmark: DataFrame, *, window: int = 10,
-    id_col: str = "doc_id", text_col: str = "text",
+    block_bytes: int = 16_000_000, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
-    """The rows of ``docs`` without any benchmark window; all columns are kept."""
-    found = find_contamination(spark, docs, benchmark, window=window, id_col=id_col, text_col=text_col)
-    gone = found.where("n_hit > 0").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, same(docs[id_col], F.col("__gone")), "left_anti")
+    """The rows of ``docs`` without any benchmark window; all columns are kept. A row goes by
+    its own text, also where rows share an id or have none."""
+    found = _found(spark, docs, benchmark, window, block_bytes, id_col, text_col).where("n_hit > 0")
+    gone = found.select(F.col("doc_id").alias("gone_id"), F.col("copy").alias("gone_copy")).distinct()
+    rows = packed(docs, id_col, text_col)
+    return rows.join(gone, same(rows.id, gone.gone_id) & (rows.copy == gone.gone_copy), "left_anti").select("row.*")

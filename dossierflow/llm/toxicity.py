@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from dossierflow.llm.common import buffers, narrow, text_chunks, written
+from dossierflow.llm.common import buffers, narrow, packed, same, text_chunks, written
 
 CHUNK_BYTES = 2_000_000
 #: Words before a match that are searched for quotation, and the window of density.
@@ -370,9 +370,9 @@ def drop_toxic(
 ) -> DataFrame:
     """The rows of ``docs`` that score below ``threshold``; all columns are kept. Of rows
     that share an id, or have none, only those whose own text is toxic go."""
-    rows = narrow(docs, id_col, text_col).select("doc_id", F.xxhash64("text").alias("mark"), "text")
-    gone = _scored(spark, rows, model).where(F.col("score") >= threshold)
-    gone = gone.select(F.col("doc_id").alias("__gone"), F.col("mark").alias("__mark")).distinct()
-    mark = F.xxhash64(F.coalesce(docs[text_col], F.lit("")))
-    own = docs[id_col].eqNullSafe(F.col("__gone")) & (mark == F.col("__mark"))
-    return docs.join(gone, own, "left_anti")
+    whole = packed(docs, id_col, text_col)
+    marked = whole.select("id", "copy", F.coalesce(F.col("row")[text_col], F.lit("")).alias("text"))
+    gone = _scored(spark, marked, model).where(F.col("score") >= threshold)
+    gone = gone.select(F.col("id").alias("gone_id"), F.col("copy").alias("gone_copy")).distinct()
+    own = same(whole.id, gone.gone_id) & (whole.copy == gone.gone_copy)
+    return whole.join(gone, own, "left_anti").select("row.*")

@@ -41,8 +41,8 @@ from dossierflow.session import new_scratch_path
 #: Bytes of text handled at once, so few that the arrays over them stay in a core's cache.
 CHUNK_BYTES = 200_000
 GRAM = 64
-#: Bytes of segments sorted at once, the cover's period (a square) and sorting depth.
-BLOCK_BYTES, PERIOD, DEPTH = 200_000, 64, 256
+#: Bytes of segments sorted at once, and the cover's period (a square).
+BLOCK_BYTES, PERIOD = 200_000, 64
 _BASE = 0xD1342543DE82EF95
 
 
@@ -115,14 +115,17 @@ def anchors(raw: np.ndarray, offsets: np.ndarray, length: int):
 
 
 class SuffixBlock:
-    """Sorted suffixes of a block of text."""
+    """Sorted suffixes of a block of text; ties are resolved for ``length`` bytes."""
 
-    def __init__(self, text: bytes):
+    def __init__(self, text: bytes, length: int):
         self.size = len(text)
-        padded = text + bytes(2 * DEPTH)
+        depth = PERIOD
+        while depth < length:
+            depth *= 2
+        padded = text + bytes(2 * depth)
         self.word = np.ndarray((len(padded) - 8,), dtype=">u8", buffer=padded, strides=(1,))
         sample = np.flatnonzero(COVER[np.arange(self.size) % PERIOD])
-        self.rank = np.zeros(self.size + 2 * DEPTH, dtype=np.int64)  # 0: past the end
+        self.rank = np.zeros(self.size + 2 * depth, dtype=np.int64)  # 0: past the end
         columns = [self.word[sample + 8 * j].astype(np.uint64) for j in reversed(range(PERIOD // 8))]
         order = np.lexsort(columns)
         fresh = np.zeros(len(order), dtype=bool)
@@ -130,7 +133,7 @@ class SuffixBlock:
             fresh[1:] |= c[order][1:] != c[order][:-1]
         self.rank[sample[order]] = np.cumsum(fresh) + 1
         step = PERIOD
-        while step < DEPTH:  # both halves start in the sample
+        while step < depth:  # both halves start in the sample
             pair = self.rank[sample] * (self.size + 2) + self.rank[sample + step]
             self.rank[sample] = np.unique(pair, return_inverse=True)[1] + 1
             step *= 2
@@ -200,7 +203,7 @@ def repeated(
     # same anchor, same distance to it
     key = bucket[which] * (4 * length) + (before[which] - inner) + length
     by = np.argsort(key, kind="stable")
-    block = SuffixBlock(b"".join(segments))
+    block = SuffixBlock(b"".join(segments), length)
     order = by[block.sort(start[by], key[by])]
     a, b = order[:-1], order[1:]
     pair = np.flatnonzero(key[a] == key[b])

@@ -123,7 +123,7 @@ def test_suffix_block_sorts_suffixes():
 
     rng = random.Random(2)
     text = bytes(rng.choices(b"ab", k=300)) * 3 + bytes(rng.choices(b"abc", k=400))
-    block = suffix_dedup.SuffixBlock(text)
+    block = suffix_dedup.SuffixBlock(text, 240)
     start = np.array(rng.sample(range(1000), 500))
     order = block.sort(start, np.zeros(500, dtype=np.int64))
     assert start[order].tolist() == sorted(start.tolist(), key=lambda p: (text[p : p + 240], 0)) or all(

@@ -102,6 +102,6 @@ def test_shards_of_nothing_and_of_few(spark, docs):
 def test_written_shards(spark, docs, tmp_path):
     df = docs([f"text {i}" for i in range(50)])
     assigned = sharding.shard(spark, df, shards=4)
-    sharding.write_shards(df, assigned, str(tmp_path / "out"))
+    sharding.write_shards(spark, df, str(tmp_path / "out"), shards=4)
     read = spark.read.parquet(str(tmp_path / "out"))
     assert {(r.doc_id, r.shard) for r in read.collect()} == {(r.doc_id, r.shard) for r in assigned.collect()}

@@ -169,7 +169,8 @@ WITH shown AS (
   SELECT page_id, url, regexp_replace(regexp_replace(html, '\r\n?', chr(10), 'g'), '{_INVISIBLE}', '<!>', 'g') AS h FROM pages
 ), parts AS (
   SELECT page_id, url, string_split(regexp_replace(
-    regexp_replace(h, '(?i)(<li(?:\s[^>]*)?>)\s*<(?:p|h[1-4])(?:\s[^>]*)?>', '\1', 'g'),
+    regexp_replace(regexp_replace(h, '(?i)</article>', '</p>', 'g'),  -- what holds an open paragraph ends it
+      '(?i)(<li(?:\s[^>]*)?>)\s*<(?:p|h[1-4])(?:\s[^>]*)?>', '\1', 'g'),
     '(?i)(</?(?:p|li|h[1-4]|dt|dd)(?:\s[^>]*|/)?>)', chr(1) || '\1', 'g'), chr(1)) AS parts
   FROM shown
 ), piece AS (

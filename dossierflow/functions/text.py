@@ -26,8 +26,21 @@ INVISIBLE = (
     r"(?is)<(?:!--.*?--|script(?:\s[^>]*)?>.*?</script\s*"
     r"|style(?:\s[^>]*)?>.*?</style\s*|noscript(?:\s[^>]*)?>.*?</noscript\s*)>"
 )
-BLOCK_TAG = r"(?i)(</?(?:p|li|h[1-4]|dt|dd)(?:\s[^>]*|/)?>)"
-WRAPPED_ITEM = r"(?i)(<li(?:\s[^>]*)?>)\s*<(?:p|h[1-4])(?:\s[^>]*)?>"
+_BLOCKS = "p|li|h[1-4]|dt|dd"
+_HOLDERS = (
+    "ul|ol|dl|div|table|thead|tbody|tfoot|tr|td|th|section|article|aside|nav|main|header|footer|form|fieldset|figure"
+    "|blockquote|body|html"
+)
+BLOCK_TAG = rf"(?i)(</?(?:{_BLOCKS})(?:\s[^>]*|/)?>)"
+# a block tag, and then anything but its own end tag
+NESTED = (
+    rf"(?i)<({_BLOCKS})(?=[\s/>])[^<]*+(?:<(?!/?(?:{_BLOCKS})[\s/>])[^<]*+)*+(?:<(?!/\1[\s>])|\z)"
+)
+BLOCK_OR_HOLDER_TAG = rf"(?i)(</?(?:{_BLOCKS}|{_HOLDERS})(?:\s[^>]*|/)?>)"
+# attribute values may hold angle brackets; quotes count after an equals sign only
+QUOTED_ANGLE = r"""=\s*+(?:"[^"<>]*+[<>][^"]*+"|'[^'<>]*+[<>][^']*+')"""
+WHOLE_TAG = r"""<[a-zA-Z](?:[^>"'=]++|=\s*+(?:"[^"]*+"|'[^']*+')?+|["'])*+>"""
+KEY_END = "\u0002"  # where the key of a pair ends
 _HIDDEN_CLASS = r"""\s[^>]*class\s*=\s*["'][^"'>]*hidden-print[^"'>]*["'][^>]*>"""
 HIDDEN_OPEN = r"(?i)(<[a-z][a-z0-9]*" + _HIDDEN_CLASS + ")"
 
@@ -309,14 +322,109 @@ def _block_text(piece: Column, at: Column) -> Column:
     return let(let(F.struct(tag.alias("tag"), rest.alias("rest")), strip_tags), render)
 
 
+def quoted_angles(html: Column) -> Column:
+    """Angle brackets inside attribute values as character references, so that every ``>``
+    left ends a tag."""
+
+    def inner(tag: Column) -> Column:
+        values = F.substr(tag, F.lit(2), F.length(tag) - 2)
+        return F.concat(F.lit("<"), F.replace(F.replace(values, F.lit("<"), F.lit("&lt;")), F.lit(">"), F.lit("&gt;")), F.lit(">"))
+
+    parts = F.split(F.regexp_replace(html, WHOLE_TAG, MARK + "$0" + MARK), MARK)
+    masked = F.transform(parts, lambda p, i: F.when((i % 2 == 1) & (F.length(p) > 2), inner(p)).otherwise(p))
+    return F.when(html.rlike(QUOTED_ANGLE), F.array_join(masked, "")).otherwise(html)
+
+
+def _flat_text(html: Column) -> Column:
+    """Text of markup whose block elements hold no others."""
+    pieces = F.split(F.regexp_replace(html, BLOCK_TAG, MARK + "$1"), MARK)
+    return F.array_join(F.transform(pieces, _block_text), "")
+
+
+def _nested_text(html: Column) -> Column:
+    """Text of any markup: the outermost of nested block elements takes all the text inside
+    as one line. One pass over the block tags and the tags that hold them finds where
+    an outermost element begins and ends: at its own end tag, where what holds it ends,
+    or, of those that HTML lets stay open, at the next of its kind in the same holder."""
+    pieces = F.split(F.regexp_replace(html, BLOCK_OR_HOLDER_TAG, MARK + "$1"), MARK)
+    blocks = ["p", "li", "h1", "h2", "h3", "h4", "dt", "dd"]
+    pair = ["dt", "dd"]
+
+    def parsed(piece: Column, at: Column) -> Column:
+        tag = F.when(at == 0, "").otherwise(F.lower(F.regexp_extract(piece, "^<(/?[a-zA-Z0-9]+)", 1)))
+        end = F.when(at == 0, 0).otherwise(F.instr(piece, ">"))
+        return F.struct(
+            tag.alias("tag"), F.substr(piece, end + 1).alias("rest"),
+            ((at > 0) & (F.substr(piece, end - 1, F.lit(1)) == "/")).alias("empty"),
+        )
+
+    def step(s: Column, p: Column) -> Column:
+        closing = p.tag.startswith("/")
+        holder = (p.tag != "") & ~F.ltrim(p.tag, F.lit("/")).isin(blocks) & ~p.empty
+        begins = (s.tag == "") & p.tag.isin(blocks) & ~p.empty
+        same = s.same + F.when((p.tag == s.tag) & ~p.empty, 1).when(p.tag == F.concat(F.lit("/"), s.tag), -1).otherwise(0)
+        level = s.level + F.when(~holder, 0).when(closing, -1).otherwise(1)
+        kin = (p.tag.isin("p", "li") & (p.tag == s.tag)) | (p.tag.isin(pair) & s.tag.isin(pair))
+        follows = (s.level == 0) & kin & ~p.empty
+        ends = (s.tag != "") & ((same == 0) | (level < 0))
+        role = (
+            F.when(begins, p.tag).when(follows, F.concat(p.tag, F.lit("+"), s.tag)).when(s.tag == "", "out")
+            .when(ends, F.concat(F.lit("/"), s.tag)).otherwise("in")
+        )
+        fresh = begins | follows
+        return F.struct(
+            F.when(fresh, p.tag).when(ends, "").otherwise(s.tag).alias("tag"),
+            F.when(fresh, 1).when(ends, 0).otherwise(same).alias("same"),
+            F.when(fresh | ends | (s.tag == ""), 0).otherwise(level).alias("level"),
+            F.concat(s.roles, F.array(role)).alias("roles"),
+        )
+
+    start = F.struct(
+        F.lit("").alias("tag"), F.lit(0).alias("same"), F.lit(0).alias("level"),
+        F.array().cast("array<string>").alias("roles"),
+    )
+
+    def shown(p: Column, role: Column) -> Column:
+        gap = F.when((role == "out") | role.startswith("/"), "\n").otherwise(" ")
+        text = F.btrim(F.regexp_replace(p.rest, "<[^>]*>", gap), F.lit(" \t\n"))
+
+        before = F.when(role.endswith("+dt"), KEY_END).when(F.contains(role, F.lit("+")), "\n").otherwise("")
+        kind = F.substring_index(role, "+", 1)
+
+        def line(t: Column) -> Column:
+            own = F.concat(F.lit("\n"), t, F.lit("\n"))
+            return F.concat(
+                before,
+                F.when(role == "in", F.concat(F.when(p.tag == "/dt", KEY_END + " ").otherwise(" "), t))
+                .when(kind.isin("p", "dt"), F.concat(F.lit("\n"), t))
+                .when(kind == "li", F.concat(F.lit("\n• "), t))
+                .when(kind == "dd", F.concat(F.lit(" "), t))
+                .when(role == "/dt", F.concat(F.lit(KEY_END), F.when(t == "", "").otherwise(own)))
+                .when(role.startswith("/"), F.concat(F.lit("\n"), own))
+                .when(role == "out", own)
+                .otherwise(F.concat(F.lit("\n\n"), t)),
+            )
+
+        return let(text, line)
+
+    def joined(parts: Column) -> Column:
+        roles = fold(parts, start, step, "roles").roles
+        return let(
+            roles,
+            lambda r: F.array_join(F.transform(parts, lambda p, i: shown(p, F.get(r, i))), ""),
+        )
+
+    text = let(F.transform(pieces, parsed), joined)
+    return F.regexp_replace(text, "[ \\t\\n:]*" + KEY_END, ":")
+
+
 def clean_html(html: Column) -> Column:
     """Readable text of a page: headings as paragraphs, ``dt``/``dd`` as
-    ``Key: Value``, list items as ``• item``, one blank line at most."""
+    ``Key: Value``, list items as ``• item``, one blank line at most. The outermost of
+    nested elements is one line."""
     h = F.regexp_replace(F.coalesce(html, F.lit("")), r"\r\n?", "\n")
-    h = let(F.regexp_replace(h, INVISIBLE, "<!>"), drop_hidden)
-    h = F.regexp_replace(h, WRAPPED_ITEM, "$1")
-    pieces = F.split(F.regexp_replace(h, BLOCK_TAG, MARK + "$1"), MARK)
-    text = F.array_join(F.transform(pieces, _block_text), "")
+    h = let(let(F.regexp_replace(h, INVISIBLE, "<!>"), quoted_angles), drop_hidden)
+    text = let(h, lambda m: F.when(m.rlike(NESTED), _nested_text(m)).otherwise(_flat_text(m)))
     return tidy(let(text, decode_entities))
 
 

@@ -92,3 +92,30 @@ def test_character_references_follow_html(texts):
     assert texts(T.decode_entities, same) == [html.unescape(t) for t in same]
     links = ["?a=1&copy=2&amp;b=3", "?x=1&region=2&notit"]
     assert texts(T.decode_entities, links) == ["?a=1&copy=2&b=3", "?x=1&region=2&notit"]
+
+
+NESTED = {
+    "<dl><dt>City:</dt><dd><p>Київ</p></dd><dt>A</dt>\n<dd>b</dd></dl>": ["City: Київ", "A: b"],
+    "<ul><li><p>a</p><p>b</p></li><li>c</li></ul>": ["• a b", "• c"],
+    "<ul><li>a<ul><li>b</li><li>c</li></ul></li><li>d</li></ul>": ["• a b c", "• d"],
+    "<ul><li><div><p>a</p></div></li></ul>x": ["• a", "x"],
+    "<ul><li>a<li>b</ul><p>z</p>": ["• a", "• b", "z"],
+    "<div><p>a</div><div>b</div>": ["a", "b"],
+    "<p>a<br>b</p>c<br>d": ["a b", "c", "d"],
+    "<li><dl><dt>k</dt><dd>v</dd></dl></li>": ["• k: v"],
+    "<p/>a<p>b</p>": ["a", "b"],
+    "<h2>T <p>u</p></h2><p>v</p>": ["T u", "v"],
+    "<p title='a > b'>x</p><a href=\"?a>b\">y</a>": ["x", "y"],
+    "<li><p></p></li><li>q</li>": ["• q"],
+    "<dl><dt>k<dd>v<dt>m<dd>n</dl><p>w": ["k: v", "m: n", "w"],
+    "<p>it's = \"fine</p><p>two": ["it's = \"fine", "two"],
+    "<blockquote><p>q<p>r</blockquote>s": ["q", "r", "s"],
+    "<li>a<ul><li>b<li>c</ul>d</li><li>e": ["• a b c d", "• e"],
+    "<ul>" + "<li>x" * 300 + "</ul>end": ["• x"] * 300 + ["end"],
+    "<div><li>" + "<p>word</p>" * 2000 + "</li></div>z": ["• " + " ".join(["word"] * 2000), "z"],
+}
+
+
+def test_outermost_of_nested_blocks_is_one_line(texts):
+    got = texts(T.clean_html, list(NESTED))
+    assert [[line for line in t.split("\n") if line] for t in got] == list(NESTED.values())

@@ -15,12 +15,14 @@ from pyspark.sql import functions as F
 from checks import tables as B
 from checks.truth import AMOUNT, CLEAN, LINKS, POSITION, SALARY, truth, years
 from dossierflow.operators import aggregate, education, fields, select, similarity, skills, text, work
-from dossierflow.plans.payloads import cleaned_pages
-from dossierflow.plans.processed import assemble_processed
+from dossierflow.plans.collect import collect_payloads
+from dossierflow.plans.payloads import build_payloads, cleaned_pages
+from dossierflow.plans.processed import assemble_processed, assemble_processed_similar
 from dossierflow.session import new_scratch_path
 from dossierflow.sources import pages as P
 from dossierflow.sources import store as S
 from dossierflow.streaming import pages as ST
+from dossierflow.streaming import stats as SS
 from fixtures.render import corpus_path
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -138,6 +140,22 @@ def sel5(spark, d):
     ).select("list_page", "pos", "url")
 
 
+@register(
+    "sel5_collect_payloads",
+    truth(
+        "SELECT p.k, c_name AS person_name FROM person p JOIN (SELECT k, row_number() OVER (ORDER BY k) AS r FROM "
+        "(SELECT DISTINCT o_orderkey // 8 AS k FROM orders)) o ON o.k = p.k WHERE r > 7 ORDER BY p.k LIMIT 60"
+    ),
+)
+def sel5_collect(spark, d):
+    pages = B.profiles(spark, d)
+    k = F.col("page_id")
+    once = pages.select((F.floor(k / 10) + 1).alias("list_page"), (k % 10).alias("pos"), F.col("source_url").alias("url"))
+    again = once.where("pos % 4 = 0").select((F.col("list_page") + 1).alias("list_page"), F.lit(50).cast("bigint").alias("pos"), "url")
+    done = collect_payloads(once.unionByName(again), pages, 60, as_of=B.AS_OF_TIME, skip=7)
+    return _k(done.payloads).select("k", "parsed.person_name")
+
+
 @register(
     "sel6_project_mode",
     truth("SELECT k, true AS has_raw, true AS has_cleaned, false AS has_parsed FROM person"),
@@ -164,6 +182,39 @@ def txt1(spark, d):
     return text.clean_html(B.driver_pages(spark, d)).select("page_id", "cleaned_text")
 
 
+def _nested_markup() -> Column:
+    """Block elements in each other, left open, and angle brackets in attributes."""
+    k, name, segment = F.col("c_custkey"), F.col("c_name"), F.col("c_mktsegment")
+    shapes = [
+        ("<dl><dt>Segment:</dt><dd><p>", segment, "</p></dd><dt><b>Name</b></dt><dd><ul><li>", name, "</li></ul></dd></dl>"),
+        ("<ul><li><p>", name, "</p><p>", segment, "</p></li><li>x", k, "</li></ul>"),
+        ("<ul><li>", name, "<ul><li>", segment, "</li><li>", k, "</li></ul></li></ul><p>end</p>"),
+        ("<ul><li><div><p>", name, "</p></div><li>", segment, "</ul>tail ", k),
+        ("<p title=\"", k, " > 1\" class='a>b'>", name, "</p><a href='?x>", k, "'>", segment, "</a>"),
+        ("<div><p>", name, "</div><div>", segment, "</div><li><dl><dt>", k, "</dt><dd>v</dd></dl></li>"),
+    ]
+    made = F.lit(None).cast("string")
+    for i, parts in enumerate(shapes):
+        text = F.concat(*[F.lit(p) if isinstance(p, str) else p.cast("string") for p in parts])
+        made = F.when(k % len(shapes) == i, text).otherwise(made)
+    return made
+
+
+@register(
+    "txt1_nested_blocks",
+    "SELECT c_custkey AS k, CASE c_custkey % 6 "
+    "WHEN 0 THEN 'Segment: ' || c_mktsegment || chr(10) || chr(10) || 'Name: ' || c_name "
+    "WHEN 1 THEN '• ' || c_name || ' ' || c_mktsegment || chr(10) || chr(10) || '• x' || c_custkey "
+    "WHEN 2 THEN '• ' || c_name || ' ' || c_mktsegment || ' ' || c_custkey || chr(10) || chr(10) || 'end' "
+    "WHEN 3 THEN '• ' || c_name || chr(10) || chr(10) || '• ' || c_mktsegment || chr(10) || chr(10) || 'tail ' || c_custkey "
+    "WHEN 4 THEN c_name || chr(10) || chr(10) || c_mktsegment "
+    "ELSE c_name || chr(10) || chr(10) || c_mktsegment || chr(10) || chr(10) || '• ' || c_custkey || ': v' END AS cleaned_text FROM customer",
+)
+def txt1_nested(spark, d):
+    pages = B.table(spark, d, "customer").select(F.col("c_custkey").alias("k"), _nested_markup().alias("html"))
+    return text.clean_html(pages).select("k", "cleaned_text")
+
+
 _DOC_LINES = r"""
 WITH t AS (
   SELECT doc_id, trim(regexp_replace(regexp_replace(regexp_replace(replace(text, chr(160), ' '),
@@ -535,6 +586,77 @@ def agg6(spark, d):
     return _flat_processed(assemble_processed(numbered, as_of=B.AS_OF, keys=K))
 
 
+def _embedded(spark, d, texts: DataFrame) -> DataFrame:
+    """``(text, vector)`` of ``(text, base)``: three of the given vectors by the base, and a
+    lesser part by the text, so texts of one base are similar, not equal."""
+    given = B.table(spark, d, "embeddings").select("vec_id", "embedding")
+    n = given.agg(F.count("*")).scalar()
+
+    def part(column: str, seed: int, weight: float) -> Column:
+        return F.struct(F.pmod(F.xxhash64(column, F.lit(seed)), n).alias("vec_id"), F.lit(weight).alias("w"))
+
+    mixed = F.array(*[part("base", i, 1.0) for i in range(3)], part("text", 9, 0.4))
+    parts = texts.distinct().select("text", F.inline(mixed)).join(given, "vec_id")
+    summed = parts.select("text", "w", F.posexplode("embedding").alias("at", "x")).groupBy("text", "at").agg(
+        F.sum(F.col("x") * F.col("w")).alias("x")
+    )
+    listed = F.array_sort(F.collect_list(F.struct("at", "x")))
+    return summed.groupBy("text").agg(F.transform(listed, lambda e: e.x).alias("vector"))
+
+
+def _title_vectors(spark, d) -> DataFrame:
+    title = F.col("title")
+    titles = B.items(spark, d).select(title.alias("text"), F.concat(F.lit("title "), F.length(title) % 4).alias("base"))
+    return _embedded(spark, d, titles)
+
+
+def _skill_vectors(spark, d, known: DataFrame) -> DataFrame:
+    listed = B.parsed(spark, d, "skills").select(F.explode("skills"))  # as the pages spell them
+    texts = B.items(spark, d).select(F.explode("duties").alias("text")).union(known.select("skill")).union(listed).distinct()
+    return _embedded(spark, d, texts.select("text", F.lower(F.regexp_replace("text", r"\s*\(.*\)", "")).alias("base")))
+
+
+# titles whose lengths leave the same rest are similar: the shortest stands for them
+_MERGED = (
+    "SELECT k, lower(arg_min(title, len(title) * 1000 + item_no)) AS position, arg_min(title, len(title) * 1000 + item_no) AS display_position, "
+    "CAST(sum(months) AS BIGINT) AS months, string_agg(DISTINCT title, '|' ORDER BY title) AS titles, min(item_no) AS first_item_no "
+    "FROM item WHERE months > 0 GROUP BY k, len(title) % 4"
+)
+_STAGED = (
+    "SELECT d.k, s.name AS skill, CAST(sum(months) AS BIGINT) AS skill_months FROM duty d JOIN known s "
+    "ON d.k = s.k AND replace(d.duty, ' (етап 1, етап 2; план)', '') = s.name WHERE months > 0 GROUP BY d.k, s.name"
+)
+
+
+@register(
+    "agg3_titles_merge_on_embeddings",
+    truth("SELECT k, position, display_position, months, " + years("months") + f" AS years, titles, first_item_no FROM ({_MERGED})"),
+)
+def agg3_embeddings(spark, d):
+    vectors = _title_vectors(spark, d).withColumnRenamed("text", "title")
+    return _flat_titles(aggregate.months_by_title_similar(B.items(spark, d), vectors, thr=0.6, keys=K))
+
+
+@register("agg5_duties_match_on_embeddings", truth(_STAGED))
+def agg5_embeddings(spark, d):
+    known = skills.known_skills(B.parsed(spark, d, "skills"), keys=K)
+    vectors = _skill_vectors(spark, d, known)
+    return aggregate.skill_months_similar(
+        B.items(spark, d), known, vectors.withColumnRenamed("text", "duty"), vectors.withColumnRenamed("text", "skill"), keys=K
+    )
+
+
+@register(
+    "agg6_semantic",
+    _PROCESSED.replace("FROM skill_sum GROUP BY k", f"FROM ({_STAGED}) GROUP BY k").replace("FROM title_sum GROUP BY k", f"FROM ({_MERGED}) GROUP BY k"),
+)
+def agg6_semantic(spark, d):
+    known = skills.known_skills(B.parsed(spark, d, "skills"), keys=K)
+    vectors = _title_vectors(spark, d).unionByName(_skill_vectors(spark, d, known))
+    numbered = _k(B.payloads(spark, d))
+    return _flat_processed(assemble_processed_similar(numbered, vectors, as_of=B.AS_OF, keys=K, title_thr=0.6))
+
+
 @register(
     "agg7_run_stats",
     LINKS.rstrip() + " SELECT (SELECT count(DISTINCT page_id) FROM pages) AS pages_visited, (SELECT count(*) FROM link) AS urls_found, "
@@ -547,6 +669,28 @@ def agg7(spark, d):
     return aggregate.run_stats(listing, _links(spark, d), tried)
 
 
+@register(
+    "agg7_stream_stats",
+    "SELECT count(*) AS urls_found, count(*) FILTER (WHERE k % 50 <> 0) AS payloads_yielded, count(*) FILTER (WHERE k % 50 = 0) AS payloads_failed, "
+    "count(*) FILTER (WHERE k % 40 = 3) AS missing_main_block FROM (SELECT DISTINCT o_orderkey // 8 AS k FROM orders)",
+)
+def agg7_stream(spark, d):
+    stats = SS.RunStats("checked")
+    spark.streams.addListener(stats)
+    try:
+        tried = cleaned_pages(ST.stream_pages(spark, corpus_path(spark, d), files_per_batch=2).drop("seen"))
+        counted = SS.observed(tried.select("parse_mode", select.is_supported(F.col("cleaned_text")).alias("ok")), "checked")
+        query = (
+            counted.writeStream.format("noop").option("checkpointLocation", new_scratch_path(spark, "state"))
+            .trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+        stats.wait(query)
+    finally:
+        spark.streams.removeListener(stats)
+    return spark.createDataFrame([tuple(stats.totals().values())], ", ".join(f"{c} bigint" for c in SS.COUNTS))
+
+
 # --------------------------------------------------------------------------
 # similarity
 # --------------------------------------------------------------------------
@@ -581,6 +725,13 @@ def sim2(spark, d):
     return B.longs(found.withColumn("score", F.round("score", 4)), "rank")
 
 
+@register("sim2_nearest_in_cells", ORACLES["sim2_nearest"])
+def sim2_cells(spark, d):
+    vectors = B.table(spark, d, "embeddings").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
+    found = similarity.nearest_in_cells(vectors, vectors, k=2, thr=0.3, skip_same=True, cells=32)
+    return B.longs(found.withColumn("score", F.round("score", 4)), "rank")
+
+
 # --------------------------------------------------------------------------
 # store
 # --------------------------------------------------------------------------
@@ -678,6 +829,40 @@ def sto6(spark, d):
     return S.json_filter(_event_store(spark, d), "parsed_json", "k", 69).select("id", "parsed_json")
 
 
+@register(
+    "sto6_contains",
+    "SELECT event_id AS id FROM events WHERE event_type = 'click' AND user_id % 5 = 2 AND CAST(json_extract_string(props, '$.k') AS INTEGER) % 3 = 1",
+)
+def sto6_contains(spark, d):
+    number = F.get_json_object("props", "$.k").cast("int")
+    tags = F.array(F.concat(F.lit("u"), F.col("user_id") % 5), F.lit("all"))
+    nested = F.struct(F.col("event_type").alias("type"), F.struct((number % 3).alias("rest"), tags.alias("tags")).alias("n"))
+    docs = B.table(spark, d, "events").select(F.col("event_id").alias("id"), F.to_json(nested).alias("doc"))
+    path = new_scratch_path(spark, "containment")
+    S.containment_index(docs, "doc").sort("path", "value").write.parquet(path)
+    part = {"type": "click", "n": {"tags": ["u2"], "rest": 1}}
+    return S.contains_indexed(docs, "doc", part, spark.read.parquet(path)).select("id")
+
+
+@register(
+    "sto1_store_batches",
+    truth(
+        f"SELECT k, {SALARY} AS salary, day AS resume_date, CASE WHEN k % 2 = 0 THEN TIMESTAMP '2026-01-01' ELSE TIMESTAMP '2026-01-02' END AS created_at, "
+        "CASE WHEN k % 6 = 0 OR k % 2 = 1 THEN TIMESTAMP '2026-01-02' ELSE TIMESTAMP '2026-01-01' END AS updated_at FROM person"
+    ),
+)
+def sto1_store(spark, d):
+    payloads = _k(B.payloads(spark, d))
+    store = S.ProfileStore(spark, new_scratch_path(spark, "store"))
+    store.upsert(payloads.where("k % 2 = 0").drop("k"), as_of="2026-01-01 00:00:00", token="first")
+    second = payloads.where("k % 6 = 0 OR k % 2 = 1").drop("k")
+    for _ in range(2):  # a repeated batch changes nothing
+        store.upsert(second, as_of="2026-01-02 00:00:00", token="second")
+    return _k(store.read()).select(
+        "k", F.col("parsed_json.salary").cast("bigint").alias("salary"), "resume_date", "created_at", "updated_at"
+    )
+
+
 # --------------------------------------------------------------------------
 # streams
 # --------------------------------------------------------------------------
@@ -702,6 +887,26 @@ def str1(spark, d):
     )
 
 
+@register("str1_new_pages", ORACLES["str1_stream_payloads"])
+def str1_places(spark, d):
+    # files with every URL twice, and some a third time
+    pages = spark.read.parquet(corpus_path(spark, d))
+    twice = pages.unionByName(pages).unionByName(pages.where("page_id % 3 = 0"))
+    folder, out = new_scratch_path(spark, "arriving"), new_scratch_path(spark, "stream")
+    twice.repartition(6, F.rand(7)).write.parquet(folder)
+
+    def save(batch: DataFrame, batch_id: int) -> None:
+        build_payloads(batch, as_of=B.AS_OF_TIME).write.mode("overwrite").parquet(f"{out}/batch={batch_id}")
+
+    query = ST.stream_new_pages(
+        ST.stream_pages(spark, folder, files_per_batch=2), save, checkpoint=new_scratch_path(spark, "state"), available_now=True
+    )
+    query.awaitTermination()
+    return _k(spark.read.parquet(out)).select(
+        "k", "meta.parse_mode", "parsed.person_name", F.col("parsed.salary").cast("bigint").alias("salary")
+    )
+
+
 @register(
     "str2_stream_upsert",
     truth(

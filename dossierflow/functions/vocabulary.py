@@ -52,6 +52,7 @@ LABELS_EMPLOYMENT = ("Вид зайнятості", "Зайнятість")
 LABELS_AGE = ("Вік",)
 LABELS_READY = ("Готовий працювати",)
 LABELS_CONSIDERED = ("Розглядає посади",)
+LABELS_POSITION = ("Посада", "Должность", "Position")
 
 # --- fixed values: limits ----------------------------------------------------
 NAME_SCAN_LINES = 12

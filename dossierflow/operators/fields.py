@@ -7,6 +7,8 @@ inside its own row and no line table has to be shuffled.
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -106,45 +108,53 @@ def clean_name(name: Column) -> Column:
     return T.let(plain, lambda n: F.when(n == "", V.UNKNOWN_NAME).otherwise(n))
 
 
-def name_position_columns(lines: Column, html: Column, has_container: Column) -> Column:
+@dataclass(frozen=True)
+class Limits:
+    """How far fields are searched; None is without limit."""
+
+    name_lines: int | None = V.NAME_SCAN_LINES
+    name_words: int | None = V.NAME_MAX_WORDS
+    name_chars: int | None = V.NAME_MAX_CHARS
+    position_lines: int | None = V.POSITION_SCAN_LINES  # after the name
+    position_chars: int | None = V.POSITION_MAX_CHARS
+    date_lines: int | None = V.DATE_SCAN_LINES
+    salary_lines: int | None = V.SALARY_SCAN_LINES
+
+
+def _first_lines(lines: Column, count: int | None, skip: Column | int = 0) -> Column:
+    start = (F.lit(skip) if isinstance(skip, int) else skip) + 1
+    return F.slice(lines, start, F.size(lines) if count is None else F.lit(count))
+
+
+def name_position_columns(lines: Column, html: Column, has_container: Column, limits: Limits = Limits()) -> Column:
     """``struct<person_name, position>``; markup first, then the first lines."""
     first = F.when(F.contains(F.lower(F.get(lines, F.lit(0))), F.lit("резюме")), 1).otherwise(0)
-    reach = V.NAME_SCAN_LINES + V.POSITION_SCAN_LINES
-    top = F.transform(F.slice(lines, first + 1, F.lit(reach)), lambda x: T.without_bullet(x))
+    whole = None in (limits.name_lines, limits.position_lines)
+    reach = None if whole else limits.name_lines + limits.position_lines
+    top = F.transform(_first_lines(lines, reach, first), lambda x: T.without_bullet(x))
 
     def usable(line: Column) -> Column:
         return (line != "") & ~is_section_title(line) & ~F.contains(line, F.lit(":"))
 
     def name_like(line: Column) -> Column:
-        return (
-            usable(line)
-            & line.rlike(_LETTER)
-            & (F.size(F.split(line, " ")) <= V.NAME_MAX_WORDS)
-            & (F.length(line) <= V.NAME_MAX_CHARS)
-        )
+        like = usable(line) & line.rlike(_LETTER)
+        if limits.name_words is not None:
+            like &= F.size(F.split(line, " ")) <= limits.name_words
+        return like if limits.name_chars is None else like & (F.length(line) <= limits.name_chars)
 
     def read(t: Column) -> Column:
         numbered = F.transform(t, lambda x, i: F.struct(i.alias("i"), x.alias("x")))
         hit = F.get(
-            F.filter(F.slice(numbered, 1, V.NAME_SCAN_LINES), lambda e: name_like(e.x)), F.lit(0)
-        )
-        return T.let(
-            hit,
-            lambda h: F.struct(
-                h.x.alias("name"),
-                F.left(
-                    F.get(
-                        F.filter(
-                            F.slice(t, F.coalesce(h.i, F.lit(reach)) + 2, F.lit(V.POSITION_SCAN_LINES)),
-                            usable,
-                        ),
-                        F.lit(0),
-                    ),
-                    F.lit(V.POSITION_MAX_CHARS),
-                ).alias("position"),
-            ),
+            F.filter(_first_lines(numbered, limits.name_lines), lambda e: name_like(e.x)), F.lit(0)
         )
 
+        def position(h: Column) -> Column:
+            after = F.coalesce(h.i, F.size(t) if reach is None else F.lit(reach)) + 1
+            found = F.get(F.filter(_first_lines(t, limits.position_lines, after), usable), F.lit(0))
+            return found if limits.position_chars is None else F.left(found, F.lit(limits.position_chars))
+
+        return T.let(hit, lambda h: F.struct(h.x.alias("name"), position(h).alias("position")))
+
     from_lines = T.let(top, read)
     h1 = F.when(has_container, clean_name(markup_text(html, _H1))).otherwise(F.lit(V.UNKNOWN_NAME))
     h2 = F.when(
@@ -166,7 +176,7 @@ def name_position_columns(lines: Column, html: Column, has_container: Column) ->
     return T.let(F.struct(h1.alias("h1"), h2.alias("h2")), choose)
 
 
-def date_column(lines: Column) -> Column:
+def date_column(lines: Column, limits: Limits = Limits()) -> Column:
     """First valid ``D month YYYY`` among the first lines."""
     months = T.literal_map({
         name: i
@@ -194,7 +204,7 @@ def date_column(lines: Column) -> Column:
             ),
         )
 
-    dated = F.filter(F.slice(lines, 1, V.DATE_SCAN_LINES), lambda x: x.rlike(written))
+    dated = F.filter(_first_lines(lines, limits.date_lines), lambda x: x.rlike(written))
     return T.first(F.filter(F.transform(dated, day), lambda d: d.isNotNull()))
 
 
@@ -210,10 +220,10 @@ def _amount(text: Column, pattern: str) -> Column:
     return F.regexp_replace(F.regexp_extract(text, pattern, 1), r"(?U)\s+", "").try_cast("int")
 
 
-def salary_column(lines: Column) -> Column:
+def salary_column(lines: Column, limits: Limits = Limits()) -> Column:
     """First plausible amount before the currency word near the top."""
     amounts = F.transform(
-        F.slice(lines, 1, V.SALARY_SCAN_LINES),
+        _first_lines(lines, limits.salary_lines),
         lambda x: F.when(x.rlike(_SALARY) & ~is_section_title(x), _amount(x, _SALARY)),
     )
     plausible = F.filter(amounts, lambda a: a.between(V.SALARY_MIN, V.SALARY_MAX))
@@ -336,8 +346,8 @@ def label_value(
     return found.withColumn(out, value).select(*df.columns, out)
 
 
-def label_field_columns(named: Column, *, strict: bool, legacy_flags: bool) -> dict[str, Column]:
-    employment = label_column(named, V.LABELS_EMPLOYMENT, strict=strict)
+def label_field_columns(named: Column, employment: Column, *, strict: bool, legacy_flags: bool) -> dict[str, Column]:
+    """``employment``: the value of its label, settled, as three flags read it."""
     return {
         "city": label_column(named, V.LABELS_CITY, strict=strict),
         "ready_to_work": T.comma_items(label_column(named, V.LABELS_READY)),
@@ -352,16 +362,18 @@ def label_fields(
     strict: bool = False, legacy_flags: bool = False,
 ) -> DataFrame:
     """City, ready-to-work cities, considered positions, employment flags, age."""
-    made = label_field_columns(F.col("_named"), strict=strict, legacy_flags=legacy_flags)
+    made = label_field_columns(F.col("_named"), F.col("_employment"), strict=strict, legacy_flags=legacy_flags)
     found = settle(_with_text(df, text), _named=label_lines(F.col("_lines"), ALL_LABELS))
+    found = settle(found, _employment=label_column(F.col("_named"), V.LABELS_EMPLOYMENT, strict=strict))
     return found.select(*keys, *[c.alias(n) for n, c in made.items()])
 
 
 def name_position(
     df: DataFrame, *, text: str = "cleaned_text", html: str = "raw_html",
-    keys: tuple[str, ...] = ("source_url",),
+    keys: tuple[str, ...] = ("source_url",), limits: Limits = Limits(),
 ) -> DataFrame:
-    made = name_position_columns(F.col("_lines"), F.col(html), F.col("has_container"))
+    """Name and position, from the headings or the first lines."""
+    made = name_position_columns(F.col("_lines"), F.col(html), F.col("has_container"), limits)
     return settle(_with_text(df, text), _np=made).select(
         *keys, F.col("_np.person_name"), F.col("_np.position")
     )
@@ -369,23 +381,23 @@ def name_position(
 
 def profile_date(
     df: DataFrame, *, text: str = "cleaned_text", html: str = "raw_html",
-    keys: tuple[str, ...] = ("source_url",), from_attribute: bool = False,
+    keys: tuple[str, ...] = ("source_url",), from_attribute: bool = False, limits: Limits = Limits(),
 ) -> DataFrame:
     """Publication date from visible text, or from the ``time`` element on request."""
     if from_attribute:
         return df.select(*keys, date_attribute_column(F.col(html)).alias("resume_date"))
-    return _with_text(df, text).select(*keys, date_column(F.col("_lines")).alias("resume_date"))
+    return _with_text(df, text).select(*keys, date_column(F.col("_lines"), limits).alias("resume_date"))
 
 
 def salary(
     df: DataFrame, *, text: str = "cleaned_text", html: str = "raw_html",
-    keys: tuple[str, ...] = ("source_url",),
+    keys: tuple[str, ...] = ("source_url",), limits: Limits = Limits(),
 ) -> DataFrame:
     """Salary, and the position without its salary tail."""
-    named = name_position_columns(F.col("_lines"), F.col(html), F.col("has_container"))
+    named = name_position_columns(F.col("_lines"), F.col(html), F.col("has_container"), limits)
     return _with_text(df, text).select(
         *keys,
-        salary_column(F.col("_lines")).alias("salary"),
+        salary_column(F.col("_lines"), limits).alias("salary"),
         without_salary_tail(named.position).alias("position"),
     )
 
@@ -407,24 +419,29 @@ def sections(
 
 
 @reused
-def _found(html: str, exact_sections: bool) -> dict[str, Column]:
+def _found(html: str, exact_sections: bool, limits: Limits) -> dict[str, Column]:
     lines = F.col("_lines")
     return {
-        "_np": name_position_columns(lines, F.col(html), F.col("has_container")),
+        "_np": name_position_columns(lines, F.col(html), F.col("has_container"), limits),
         "_named": label_lines(lines, ALL_LABELS),
         "_parts": section_parts(F.col("_text"), exact=exact_sections),
     }
 
 
 @reused
-def _record(html: str, strict_labels: bool, legacy_flags: bool, exact_sections: bool) -> Column:
+def _employment(strict_labels: bool) -> Column:
+    return label_column(F.col("_named"), V.LABELS_EMPLOYMENT, strict=strict_labels)
+
+
+@reused
+def _record(html: str, strict_labels: bool, legacy_flags: bool, exact_sections: bool, limits: Limits) -> Column:
     lines = F.col("_lines")
-    labels = label_field_columns(F.col("_named"), strict=strict_labels, legacy_flags=legacy_flags)
+    labels = label_field_columns(F.col("_named"), F.col("_employed"), strict=strict_labels, legacy_flags=legacy_flags)
     made = {
         "person_name": F.col("_np.person_name"),
-        "resume_date": date_column(lines),
+        "resume_date": date_column(lines, limits),
         "position": without_salary_tail(F.col("_np.position")),
-        "salary": salary_column(lines),
+        "salary": salary_column(lines, limits),
         "veteran": veteran_column(F.col(html)),
         "birthday": F.lit(None).cast("date"),
         **labels,
@@ -436,8 +453,11 @@ def _record(html: str, strict_labels: bool, legacy_flags: bool, exact_sections:
 def parse_profiles(
     df: DataFrame, *, text: str = "cleaned_text", html: str = "raw_html",
     strict_labels: bool = False, legacy_flags: bool = False, exact_sections: bool = False,
+    limits: Limits = Limits(),
 ) -> DataFrame:
-    """Add ``parsed``, the 20-field record, to cleaned pages."""
-    staged = settle(_with_text(df, text), **_found(html, exact_sections))
-    record = _record(html, strict_labels, legacy_flags, exact_sections)
+    """Add ``parsed``, the 20-field record, to cleaned pages. ``limits``: how far fields are
+    searched for, None in it for everywhere."""
+    staged = settle(_with_text(df, text), **_found(html, exact_sections, limits))
+    staged = settle(staged, _employed=_employment(strict_labels))
+    record = _record(html, strict_labels, legacy_flags, exact_sections, limits)
     return settle(staged, parsed=record).select(*df.columns, "parsed")

@@ -36,7 +36,7 @@ def _stored(df: DataFrame, name: str) -> DataFrame:
 def collect_payloads(
     links: DataFrame, pages: DataFrame, n: int, *, as_of: str, start_page: int = 1, max_pages: int | None = None,
     skip: int = 0, dedupe: bool = True, success: Column | None = None, first_range: int = 4, growth: int = 2,
-    mode: PayloadMode | str = PayloadMode.RAW_CLEANED_PARSED, **options: bool,
+    mode: PayloadMode | str = PayloadMode.RAW_CLEANED_PARSED, **options,
 ) -> Collected:
     """Payloads of the first ``n`` good pages in listing order, as :func:`until_n` counts them.
 

@@ -23,7 +23,7 @@ def cleaned_pages(pages: DataFrame, *, url: str = "source_url", html: str = "htm
 
 def build_payloads(
     pages: DataFrame, *, as_of: str, mode: select.PayloadMode | str = "raw_cleaned_parsed",
-    **options: bool,
+    **options,
 ) -> DataFrame:
     """Payload table of ``schemas.PAYLOAD``. ``as_of`` is the collection time;
     ``options`` go to :func:`dossierflow.operators.fields.parse_profiles`."""

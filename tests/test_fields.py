@@ -99,3 +99,27 @@ def test_parsed_record(parse):
 
 def test_age(texts):
     assert texts(fields.age_column, ["41 рік", "немає"]) == [41, None]
+
+
+def test_limits_are_keywords(spark):
+    from dossierflow.operators import fields as ops
+
+    lines = ["Резюме", *[f"рядок {i}: x" for i in range(14)], "Ім'я Прізвище", *[f"мітка {i}: y" for i in range(7)], "П" * 130]
+    lines += [f"поле {i}: z" for i in range(25)] + ["5 червня 2020", "12 500 грн"]
+    page = spark.createDataFrame([("u", "\n".join(lines), "", False)], "source_url string, cleaned_text string, raw_html string, has_container boolean")
+
+    def read(limits):
+        np = ops.name_position(page, limits=limits).first()
+        return (
+            np.person_name, len(np.position or ""), ops.profile_date(page, limits=limits).first().resume_date,
+            ops.salary(page, limits=limits).first().salary,
+        )
+
+    assert read(ops.Limits()) == ("unknown", 0, None, None)
+    some = ops.Limits(name_lines=20, position_lines=9, date_lines=60, salary_lines=60)
+    assert read(some)[:2] == ("Ім'я Прізвище", 120)
+    none = ops.Limits(*[None] * 7)
+    name, size, day, amount = read(none)
+    assert (size, str(day), amount) == (130, "2020-06-05", 12500) and name == "Ім'я Прізвище"
+    parsed = ops.parse_profiles(page, limits=none).select("parsed.*").first()
+    assert (parsed.person_name, parsed.salary) == (name, 12500)

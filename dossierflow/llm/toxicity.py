@@ -7,12 +7,16 @@ against all terms with their misspellings. All words of many texts step
 through the table together. Each match is judged in its context window: inside
 quotation marks or after a word that reports speech it counts as quoted, else as
 said, and the share of matches in the densest window is a feature too. A
-logistic model turns these features into a score.
+logistic model turns these features into a score; it also learns from training
+texts whose terms are misspelled (as toxic as before) and from clean ones that
+quote terms (as clean as before), and its weights have the signs that these mean.
 """
 
 from __future__ import annotations
 
 import math
+import re
+import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -28,6 +32,8 @@ CHUNK_BYTES = 2_000_000
 CONTEXT, WINDOW = 5, 20
 MAX_STATES = 200_000
 FEATURES = ("said", "said_rate", "fuzzy", "fuzzy_rate", "quoted", "quoted_rate", "density")
+#: What a match said can only add, and one quoted only take away.
+SIGNS = (1, 1, 1, 1, -1, -1, 1)
 
 #: Words that report speech.
 REPORTING = (
@@ -182,8 +188,11 @@ def features(raw: np.ndarray, offsets: np.ndarray, lexicon: Automaton, reporting
     # quotation: an odd number of straight marks, or more opened than closed, since the line began
     new_line = (points == 10) | edge[:-1]
     line = np.maximum.accumulate(np.where(new_line, np.arange(len(points)), 0))
-    straight = np.cumsum(points == 0x22)
-    opened = np.cumsum(np.isin(points, (0xAB, 0x201C, 0x201E))) - np.cumsum(np.isin(points, (0xBB, 0x201D)))
+    def before(marks: np.ndarray) -> np.ndarray:
+        return np.cumsum(marks) - marks
+
+    straight = before(points == 0x22)
+    opened = before(np.isin(points, (0xAB, 0x201C, 0x201E)).astype(np.int64) - np.isin(points, (0xBB, 0x201D)))
     at = begin[hit]
     quoted = ((straight[at] - straight[line[at]]) % 2 == 1) | (opened[at] > opened[line[at]])
     speech = np.flatnonzero(reporting.match(folded, begin, end))
@@ -218,14 +227,69 @@ class Model:
         return 1 / (1 + np.exp(-np.clip(z, -30, 30)))
 
 
+def _absent(n1: int, d1, n0: int, d0):
+    """The part of a log-likelihood ratio that texts without the term add."""
+    without, rows = n1 + n0 - d1 - d0, n1 + n0
+
+    def part(missing, total):
+        return F.when(missing > 0, missing * F.log(missing * rows / (total * without))).otherwise(0.0)
+
+    return part(n1 - d1, n1) + part(n0 - d0, n0)
+
+
+def misspelled(word: str, seed: int) -> str:
+    """The word with one letter inside it changed, dropped or doubled."""
+    at = 1 + seed % (len(word) - 2)
+    kind = seed // 7 % 3
+    if kind == 0:
+        return word[:at] + chr(0x61 + (ord(word[at]) - 0x61 + 1 + seed % 25) % 26) + word[at + 1 :]
+    return word[:at] + word[at + 1 :] if kind == 1 else word[:at] + 2 * word[at] + word[at + 1 :]
+
+
+def variants(text: str, label: int, terms: list[Term]) -> Iterator[tuple[str, int]]:
+    """Training texts made of one: a toxic text with its terms misspelled; a clean text
+    that quotes a term, in marks or after a word that reports speech."""
+    words = [t.text for t in terms if t.edits]
+    if not words:
+        return
+    seed = zlib.crc32(text.encode("utf-8", "replace"))
+    if label:
+        changed, n = re.subn(
+            r"(?<!\w)(?:" + "|".join(map(re.escape, words)) + r")(?!\w)",
+            lambda m: misspelled(m[0].lower(), seed + m.start()), text, flags=re.IGNORECASE,
+        )
+        if n:
+            yield changed, 1
+    elif seed % 4 == 0:
+        term = words[seed // 4 % len(words)]
+        said = REPORTING[seed // 8 % len(REPORTING)]
+        yield text + (f'\n"{term}"' if seed // 16 % 2 else f"\n{said} {term}"), 0
+
+
+def _with_variants(sample: DataFrame, terms: list[Term]) -> DataFrame:
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in text_chunks(batches, CHUNK_BYTES):
+            rows = []
+            for text, label in zip(batch.column("text").to_pylist(), batch.column("label").to_pylist(), strict=True):
+                rows += [(text, label), *variants(text, label, terms)]
+            texts, labels = zip(*rows, strict=True)
+            yield pa.record_batch([pa.array(texts, pa.string()), pa.array(labels, pa.int32())], names=["text", "label"])
+
+    return sample.select("text", "label").mapInArrow(make, "text string, label int")
+
+
 def learn_terms(
-    sample: DataFrame, *, max_terms: int = 200, min_docs: int = 4, odds: float = 20.0, beginnings: tuple[int, ...] = (4, 5, 6),
+    sample: DataFrame, *, max_terms: int = 200, min_docs: int = 4, odds: float = 20.0, alpha: float = 0.05,
+    beginnings: tuple[int, ...] = (4, 5, 6),
 ) -> list[Term]:
     """Words, and word beginnings, that are ``odds`` times likelier in texts labelled 1.
     ``sample``: (text, label), bounded by the caller. At most ``max_terms`` are
-    returned, by the number of texts labelled 1 that have them. Terms of five
-    letters and more may be misspelled by one edit if they are words."""
-    words = F.array_distinct(F.split(F.lower("text"), r"[^\p{L}\p{N}]+"))
+    returned, by the number of texts labelled 1 that have them, times the share of different
+    places (the words before and after) among their occurrences, so that near copies
+    count as one text. A term must be more than chance: its log-likelihood ratio passes the bound of
+    ``alpha`` shared by all terms tested. Terms of five letters and more may be misspelled by one edit if they are words."""
+    spoken = F.split(F.lower("text"), r"[^\p{L}\p{N}]+")
+    words = F.array_distinct(spoken)
 
     def heads(n: int):
         long_enough = F.filter(words, lambda w: F.length(w) >= n)
@@ -241,10 +305,35 @@ def learn_terms(
     if not n1 or not n0:
         return []
     ratio = (F.col("d1") / n1) / ((F.col("d0") + 0.5) / n0)
-    found = (
+    place = F.transform("w", lambda w, i: F.struct(w.alias("term"), F.xxhash64(F.get("w", i - 1), F.get("w", i + 1)).alias("at")))
+    placed = sample.where("label = 1").select(spoken.alias("w")).select(F.explode(place).alias("p")).select("p.term", "p.at")
+    cuts = [F.struct(F.when(F.length("term") >= n, F.substring("term", 1, n)).alias("term"), F.lit(n).alias("size")) for n in beginnings]
+    whole = F.struct(F.col("term"), F.lit(0).alias("size"))
+    places = placed.select("at", F.inline(F.array(whole, *cuts))).groupBy("term", "size").agg(
+        (F.count_distinct("at") / F.count("*")).alias("different")
+    )
+    texts = (
         exploded.where(F.length("x.term") >= 3).groupBy("x.term", "x.size")
         .agg(F.sum("label").alias("d1"), F.sum(1 - F.col("label")).alias("d0"))
-        .where((F.col("d1") >= min_docs) & (ratio >= odds))
+        .where(F.col("d1") + F.col("d0") >= min_docs)
+    )
+    counted = written(
+        sample.sparkSession,
+        texts.join(places, ["term", "size"], "left")
+        .select("term", "size", F.floor(F.col("d1") * F.coalesce("different", F.lit(0.0)) + 1e-9).alias("d1"), "d0"),
+        "term-counts",
+    )
+    tested = counted.count()
+
+    def part(seen, total):
+        return F.when(seen > 0, seen * F.log(seen * rows / (total * (F.col("d1") + F.col("d0"))))).otherwise(0.0)
+
+    # twice the log-likelihood ratio of the two groups' rates; its tail is about exp(-x / 2)
+    surprise = 2 * (
+        part(F.col("d1"), n1) + part(F.col("d0"), n0) + _absent(n1, F.col("d1"), n0, F.col("d0"))
+    )
+    found = (
+        counted.where((F.col("d1") >= min_docs) & (ratio >= odds) & (surprise >= 2 * math.log(max(tested, 1) / alpha)))
         .orderBy(F.desc("d1"), "size", "term").limit(8 * max_terms).collect()
     )
     best = {(r.term, r["size"]): r.d1 for r in found}
@@ -265,7 +354,42 @@ def learn_terms(
         terms.append(Term(term, bool(size), 0 if size or len(term) < 5 else 1))
         if len(terms) == max_terms:
             break
-    return [t for t in terms if t.prefix or not any(t.text.startswith(p) for p in taken)]
+    terms = [t for t in terms if t.prefix or not any(t.text.startswith(p) for p in taken)]
+    return _spared(terms, counted, best, n1, n0, odds)
+
+
+def one_edit(a: str, b: str) -> bool:
+    """Whether one letter inserted, dropped or changed makes ``a`` into ``b``."""
+    if abs(len(a) - len(b)) > 1 or a == b:
+        return False
+    same = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), min(len(a), len(b)))
+    return a[same + (len(a) >= len(b)) :] == b[same + (len(b) >= len(a)) :]
+
+
+def _spared(terms: list[Term], counted: DataFrame, best: dict, n1: int, n0: int, odds: float) -> list[Term]:
+    """The terms, without their edit where the words one edit away are ordinary: ``odds`` times
+    rarer in texts labelled 0 than the term is in those labelled 1 is what they must be."""
+    loose = [t for t in terms if t.edits]
+    if not loose:
+        return terms
+    sent = counted.sparkSession.sparkContext.broadcast(Automaton(loose))
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            words = batch.column("term").to_pylist()
+            end = np.cumsum([len(w) for w in words], dtype=np.int64)
+            points = np.frombuffer("".join(words).encode("utf-32-le"), dtype=np.uint32)
+            begin = np.append(0, end[:-1]) if len(words) else end
+            yield batch.filter(pa.array(sent.value.match(points, begin, end) == 2))
+
+    words = counted.where((F.col("size") == 0) & (F.col("d0") > 0)).select("term", "d0")
+    around = words.mapInArrow(near, "term string, d0 bigint").toPandas()  # of the sample's words
+    out = []
+    for t in terms:
+        clean = sum(d for w, d in zip(around["term"], around["d0"], strict=True) if one_edit(t.text, w)) if t.edits else 0
+        rare = clean / n0 <= best.get((t.text, 0), 0) / n1 / odds
+        out.append(t if rare else Term(t.text, t.prefix, 0))
+    return out
 
 
 def _rows(docs: DataFrame, automata) -> DataFrame:
@@ -288,21 +412,28 @@ def _rows(docs: DataFrame, automata) -> DataFrame:
 
 
 def _fit(x: np.ndarray, y: np.ndarray, ridge: float = 1.0) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Logistic regression by Newton steps on standardised columns."""
+    """Logistic regression on standardised columns, by Newton steps. A weight of the wrong
+    sign is held at zero, the others are fitted again."""
     mean, scale = x.mean(axis=0), np.maximum(x.std(axis=0), 1e-6)
     z = np.column_stack([(x - mean) / scale, np.ones(len(x))])
-    w = np.zeros(z.shape[1])
-    penalty = np.full(len(w), ridge)
+    penalty = np.full(z.shape[1], ridge)
     penalty[-1] = 1e-6
-    for _ in range(50):
-        p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        gradient = z.T @ (p - y) + penalty * w
-        hessian = (z.T * (p * (1 - p))) @ z + np.diag(penalty + 1e-9)
-        move = np.linalg.solve(hessian, gradient)
-        w -= move
-        if np.abs(move).max() < 1e-8:
-            break
-    return mean, scale, w
+    free = np.ones(z.shape[1], dtype=bool)
+    while True:
+        w = np.zeros(z.shape[1])
+        part = z[:, free]
+        for _ in range(50):
+            p = 1 / (1 + np.exp(-np.clip(part @ w[free], -30, 30)))
+            gradient = part.T @ (p - y) + penalty[free] * w[free]
+            hessian = (part.T * (p * (1 - p))) @ part + np.diag(penalty[free] + 1e-9)
+            move = np.linalg.solve(hessian, gradient)
+            w[free] -= move
+            if np.abs(move).max() < 1e-8:
+                break
+        wrong = free & np.append(w[:-1] * np.array(SIGNS) < 0, False)
+        if not wrong.any():
+            return mean, scale, w
+        free &= ~wrong
 
 
 def fit(
@@ -329,7 +460,7 @@ def fit(
     sample = written(spark, sample, "toxicity-sample")
     terms = learn_terms(sample, max_terms=max_terms)
     automata = spark.sparkContext.broadcast(_automata(terms))
-    rows = _rows(sample, automata).toPandas()  # at most max_rows
+    rows = _rows(_with_variants(sample, terms), automata).toPandas()  # at most twice max_rows
     y = rows["label"].to_numpy(dtype=float)
     x = rows[[f"f{i}" for i in range(len(FEATURES))]].to_numpy(dtype=float)
     if not len(y) or y.min() == y.max():

@@ -218,14 +218,15 @@ def _table(ids, n_words, runs, items, copies) -> pa.RecordBatch:
 
 def find_contamination(
     spark: SparkSession, docs: DataFrame, benchmark: DataFrame, *, window: int = 10,
-    block_bytes: int = 16_000_000, id_col: str = "doc_id", text_col: str = "text",
+    block_bytes: int = 1_000_000, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """``(doc_id, n_words, n_hit, n_items, items_sha256, runs, items)``, one row per row
     of ``docs``: words in occurrences of benchmark windows, and the items concerned.
 
     ``benchmark``: ``(item_id, text)``. Its tables go to the tasks in blocks of about
-    ``block_bytes`` of text, so what is sent at once is bounded whatever its size;
-    all documents are searched for each block. Null texts have no words, on either
+    ``block_bytes`` of text (an item is not cut); built, they take up to a hundred bytes per
+    byte of text, so about 100 MB are sent at once, whatever its size; all documents are
+    searched for each block. Null texts have no words, on either
     side; a null item id is named ``null``; repeated items count once.
     """
     return _found(spark, docs, benchmark, window, block_bytes, id_col, text_col).drop("copy")
@@ -280,7 +281,7 @@ def _found(
 
 def drop_contaminated(
     spark: SparkSession, docs: DataFrame, benchmark: DataFrame, *, window: int = 10,
-    block_bytes: int = 16_000_000, id_col: str = "doc_id", text_col: str = "text",
+    block_bytes: int = 1_000_000, id_col: str = "doc_id", text_col: str = "text",
 ) -> DataFrame:
     """The rows of ``docs`` without any benchmark window; all columns are kept. A row goes by
     its own text, also where rows share an id or have none."""

@@ -1,0 +1,172 @@
+"""Registered queries without SQL on the smallest given tables, against the library they
+follow or a plain computation; and very long texts through every operator."""
+
+import hashlib
+import zlib
+from collections import Counter, defaultdict
+
+import public_tokenizers
+import pytest
+import xxhash
+
+from dossierflow.llm import (
+    chat,
+    decontaminate,
+    exact_dedup,
+    line_dedup,
+    packing,
+    sharding,
+    simhash,
+    suffix_dedup,
+    token_counts,
+)
+from dossierflow.llm.queries import QUERIES, VOCABULARY
+from tests.conftest import SF
+
+
+@pytest.fixture(scope="module")
+def texts(spark):
+    return {r.doc_id: r.text or "" for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()}
+
+
+@pytest.fixture(scope="module")
+def library():
+    from tokenizers import Tokenizer
+
+    return Tokenizer.from_file(public_tokenizers.path(VOCABULARY))
+
+
+def test_op2(spark, texts):
+    rows = QUERIES["op2_toxicity"](spark, SF).collect()
+    assert {r.doc_id for r in rows} == set(texts) and len(rows) == len(texts)
+    for r in rows:
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 5 == 0)
+        assert 0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5)
+
+
+def test_op3(spark, texts):
+    raws = {i: t.encode() for i, t in texts.items()}
+    places = Counter(r[p : p + 200] for r in raws.values() for p in range(len(r) - 199))
+    rows = QUERIES["op3_suffix_dedup"](spark, SF).collect()
+    assert len(rows) == len(raws)
+    for r in rows:
+        raw, gone, end = raws[r.doc_id], [], 0
+        for p in range(len(raw) - 199):
+            if places[raw[p : p + 200]] > 1:
+                if not gone or p > end:
+                    gone.append([p, p + 200])
+                gone[-1][1] = end = p + 200
+        kept, at = b"", 0
+        for a, b in gone:
+            kept, at = kept + raw[at:a], b
+        kept += raw[at:]
+        assert (r.n_bytes, r.n_removed, r.n_spans) == (len(raw), len(raw) - len(kept), len(gone))
+        assert r.kept_sha256 == hashlib.sha256(kept).hexdigest()
+
+
+def test_op4(spark, texts, library):
+    got = {r.doc_id: (r.n_bytes, r.n_tokens, r.over_limit) for r in QUERIES["op4_token_counts"](spark, SF).collect()}
+    ids = list(texts)
+    counts = [len(e.ids) for e in library.encode_batch([texts[i] for i in ids], add_special_tokens=False)]
+    assert got == {i: (len(texts[i].encode()), n, n > 1024) for i, n in zip(ids, counts, strict=True)}
+
+
+def test_op6(spark, texts):
+    fingerprints = {}
+    for i, text in texts.items():
+        words = text.encode().lower().split()
+        shingles = [b" ".join(words[k : k + 3]) for k in range(max(1, len(words) - 2))] if words else []
+        bits = Counter(b for s in shingles for h in [xxhash.xxh64_intdigest(s, 42)] for b in range(64) if h >> b & 1)
+        fingerprints[i] = sum(1 << b for b, n in bits.items() if 2 * n > len(shingles))
+    root = {i: i for i in texts}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    ids = sorted(texts)
+    for n, a in enumerate(ids):
+        for b in ids[n + 1 :]:
+            if (fingerprints[a] ^ fingerprints[b]).bit_count() <= 2:
+                x, y = sorted((find(a), find(b)))
+                root[y] = x
+    got = {r.doc_id: (r.fingerprint, r.component_id) for r in QUERIES["op6_simhash"](spark, SF).collect()}
+    assert got == {i: (f"{fingerprints[i]:016x}", find(i)) for i in ids}
+
+
+def test_op9(spark, texts, library):
+    want = {i: [*library.encode(t, add_special_tokens=False).ids, 0] for i, t in texts.items()}
+    pieces, sequences = defaultdict(list), defaultdict(list)
+    for r in QUERIES["op9_packing"](spark, SF).collect():
+        ids = want[r.doc_id][r.start : r.start + r.length]
+        assert r.length == len(ids) > 0 and r.doc_tokens == len(want[r.doc_id])
+        assert r.ids_crc32 == zlib.crc32(b"".join(i.to_bytes(4, "little") for i in ids))
+        pieces[r.doc_id].append((r.start, r.length))
+        sequences[r.sequence_id].append((r.offset, r.length))
+    for i, ids in want.items():
+        at = 0
+        for start, length in sorted(pieces[i]):
+            assert start == at
+            at += length
+        assert at == len(ids)
+    for parts in sequences.values():
+        at = 0
+        for offset, length in sorted(parts):
+            assert offset == at
+            at += length
+        assert at <= 1024
+    assert len(sequences) <= sum(map(len, want.values())) / 1024 + 2
+
+
+def test_op10(spark, texts):
+    rows = QUERIES["op10_sharding"](spark, SF).collect()
+    assert {r.doc_id: (r.size, r.text_crc32) for r in rows} == {i: (len(t.encode()) + 1, zlib.crc32(t.encode())) for i, t in texts.items()}
+    loads, slots = Counter(), defaultdict(list)
+    for r in rows:
+        assert (r.law, r.grown_shard) == ("bytes", None)
+        loads[r.shard] += r.size
+        slots[r.shard].append(r.slot)
+    assert sorted(loads) == list(range(16)) and all(sorted(s) == list(range(len(s))) for s in slots.values())
+    # no shard is farther from the mean than the largest document
+    assert max(abs(n - sum(loads.values()) / 16) for n in loads.values()) <= max(r.size for r in rows)
+
+
+@pytest.fixture
+def long_docs(docs):
+    text = " ".join(f"w{zlib.crc32(b"%d" % i)}" for i in range(250_000))  # 2.7 MB
+    return text, docs([text, text + " end", "short text", None])
+
+
+def test_very_long_texts(spark, long_docs, by_id, library):
+    text, df = long_docs
+    size = len(text)
+    path = public_tokenizers.path(VOCABULARY)
+    kept = by_id(exact_dedup.assign(exact_dedup.new_index(spark, 4), df))
+    assert all(r.kept for r in kept.values()) and kept[0].text_sha256 == hashlib.sha256(text.encode()).hexdigest()
+    assert by_id(line_dedup.dedup_lines(spark, df))[0].kept_text == text
+    removed = by_id(suffix_dedup.remove_repeats(spark, df, length=200))
+    assert (removed[0].n_removed, removed[1].n_removed, removed[2].n_removed) == (size, size, 0)
+    tokens = by_id(token_counts.count_tokens(df, path))
+    n = len(library.encode(text, add_special_tokens=False).ids)
+    assert tokens[0].n_tokens == n
+    found = simhash.near_duplicates(spark, df).collect()
+    assert {r.doc_id: r.component_id for r in found} == {0: 0, 1: 0, 2: 2, 3: 3}
+    bench = spark.createDataFrame([(1, " ".join(text.split()[-12:]))], "item_id int, text string")
+    leaks = by_id(decontaminate.find_contamination(spark, df, bench, window=10))
+    assert (leaks[0].n_words, leaks[0].n_hit, leaks[1].n_hit, leaks[2].n_hit) == (250_000, 12, 12, 0)
+    packed = packing.pack(spark, df, path, size=1024, keep_ids=False).groupBy("doc_id").sum("length").collect()
+    assert {r.doc_id: r[1] for r in packed}[0] == n + 1
+    shards = by_id(sharding.shard(spark, df, shards=2))
+    assert shards[0].shard != shards[1].shard and shards[0].size == size + 1
+
+
+def test_a_very_long_conversation(spark):
+    said = "é<|im_end|> " * 200_000
+    turns = spark.createDataFrame(
+        [(1, 0, "user", said), (1, 1, "assistant", said), (2, 0, "user", "hi")], "conv_id bigint, turn bigint, role string, text string"
+    )
+    got = {r.conv_id: r for r in chat.read_back(chat.format_conversations(turns)).collect()}
+    assert (got[1].n_turns, got[1].loss_chars) == (2, len(said))
+    assert got[1].turns_sha256 == hashlib.sha256(f"user\n{said}\nassistant\n{said}\n".encode()).hexdigest()
+    assert got[1].loss_sha256 == hashlib.sha256(said.encode()).hexdigest()

@@ -25,8 +25,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from dossierflow.llm.common import buffers
+from dossierflow.llm.common import buffers, text_chunks
 
+#: Bytes of text formatted at once, and bytes that move in one step of that.
+CHUNK_BYTES, MOVE_BYTES = 4_000_000, 1 << 20
 HEAD, MIDDLE, TAIL = b"<|im_start|>", b"\n", b"<|im_end|>\n"
 _TURN = re.compile(r"<\|im_start\|>([^\n]*)\n(.*?)<\|im_end\|>\n", re.DOTALL)
 _KEYS = "conv_id bigint, piece bigint, last boolean, n_turns bigint"
@@ -68,7 +70,12 @@ def assemble(roles: pa.Array, texts: pa.Array) -> tuple[np.ndarray, np.ndarray,
         out[begins[:, column, None] + np.arange(len(constant))] = constant
     for column, (offsets, raw) in ((1, parts[0]), (3, parts[1])):
         # each byte moves by its segment's shift
-        out[np.arange(len(raw)) + np.repeat(begins[:, column] - offsets[:-1], sizes[:, column])] = raw
+        shift = begins[:, column] - offsets[:-1]
+        for low in range(0, len(raw), MOVE_BYTES):
+            high = min(low + MOVE_BYTES, len(raw))
+            a, b = np.searchsorted(offsets, low, "right") - 1, np.searchsorted(offsets, high, "left")
+            inside = np.minimum(offsets[a + 1 : b + 1], high) - np.maximum(offsets[a:b], low)
+            out[np.arange(low, high) + np.repeat(shift[a:b], inside)] = raw[low:high]
     return out, np.append(begins[:, 0], total), np.stack([begins[:, 3], ends[:, 3]], axis=1)
 
 
@@ -82,7 +89,8 @@ def format_conversations(
     Turns are ordered by number, ties by role and text; null numbers come first.
     Null roles and texts are empty, a null conversation id is a conversation.
     Repeated rows are turns of their own. The result is sorted by conversation
-    and piece within its partitions; ``piece`` counts from 0.
+    and piece within its partitions; ``piece`` counts from 0. A text is not cut: a very long
+    one takes about six times its size while it is formatted.
     """
     rows = turns.select(
         F.col(conv_col).cast("bigint").alias("conv_id"),
@@ -94,9 +102,7 @@ def format_conversations(
 
     def put(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: pa.RecordBatch | None = None  # formatted rows, of which the last may go on
-        for batch in batches:
-            if not batch.num_rows:
-                continue
+        for batch in text_chunks(batches, CHUNK_BYTES):
             made = _format(batch, learn)
             if waiting is not None:
                 same_one = waiting.column(0)[-1] == made.column(0)[0]
@@ -125,14 +131,15 @@ def _format(batch: pa.RecordBatch, learn: set[str]) -> pa.RecordBatch:
     none = conv.is_null().to_numpy(zero_copy_only=False)
     first = np.flatnonzero(np.append(True, (ids[1:] != ids[:-1]) | (none[1:] != none[:-1])))
     bounds = np.append(first, len(ids))
-    # code points before each byte
-    points = np.zeros(len(out) + 1, dtype=np.int64)
-    np.cumsum((out & 0xC0) != 0x80, out=points[1:])
+    # code points before each turn, and before and after its text
+    marks = np.column_stack([begins[:-1], spans]).ravel()
+    between = np.add.reduceat((out & 0xC0) != 0x80, marks, dtype=np.int64)
+    between[:-1][marks[1:] == marks[:-1]] = 0
+    points = (np.cumsum(between) - between).reshape(-1, 3)
     learned = np.isin(np.array(batch.column("role").to_pylist(), dtype=object), list(learn))
     loss = []
     for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
-        base = points[begins[a]]
-        loss.append([{"first": x, "last": y} for x, y in (points[spans[a:b][learned[a:b]]] - base).tolist()])
+        loss.append([{"first": x, "last": y} for x, y in (points[a:b, 1:][learned[a:b]] - points[a, 0]).tolist()])
     offsets = pa.py_buffer(begins[bounds].astype(np.int64))
     text = pa.LargeStringArray.from_buffers(len(first), offsets, pa.py_buffer(out)).cast(pa.string())
     return pa.record_batch(

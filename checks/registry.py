@@ -67,6 +67,24 @@ def src2(spark, d):
     return B.longs(_links(spark, d), "pos")
 
 
+@register(
+    "src2_links_in_boxes",
+    "SELECT c_custkey // 10 AS list_page, row_number() OVER (PARTITION BY c_custkey // 10 ORDER BY c_custkey) - 1 AS pos, "
+    "'https://s.example/resumes/' || c_custkey || '/?a=1&b=2' AS url, CAST(c_custkey AS VARCHAR) AS key FROM customer",
+)
+def src2_boxes(spark, d):
+    def markup(k: Column) -> Column:
+        link = F.concat(F.lit("<a class='x>y' href='/resumes/"), k, F.lit("/?a=1&amp;b=2'>Резюме</a>"))
+        box = F.concat(F.lit("<div class='card resume-link'><div>"), link, F.lit("</div><a href='/about/'>o</a></div>"))
+        other = F.concat(F.lit("<div class='resume-links'><a href='/resumes/9"), k, F.lit("/'>no</a></div>"))
+        return F.concat(box, other, F.when(k % 3 == 0, box).otherwise(""))
+
+    k = F.col("c_custkey")
+    listing = B.table(spark, d, "customer").groupBy(F.floor(k / 10).alias("page_id")).agg(F.array_sort(F.collect_list(k)).alias("ks"))
+    html = F.concat(F.lit("<nav><a href='/resumes/1/'>first</a></nav>"), F.array_join(F.transform("ks", markup), "\n"))
+    return B.longs(P.extract_links(listing.select("page_id", html.alias("html")), base="https://s.example/"), "list_page", "pos")
+
+
 @register("src3_export_json", "SELECT c_custkey, c_name, c_nationkey, c_acctbal, c_mktsegment FROM customer")
 def src3(spark, d):
     customers = B.table(spark, d, "customer")

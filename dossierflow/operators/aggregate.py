@@ -21,12 +21,6 @@ from dossierflow.functions import skills as S
 from dossierflow.functions import text as T
 from dossierflow.functions import vocabulary as V
 from dossierflow.operators.common import explode_rows
-from dossierflow.plans.processed import assemble_processed
-
-__all__ = [
-    "totals", "months_by_title", "months_by_title_similar", "skill_months",
-    "skill_months_similar", "assemble_processed", "run_stats",
-]
 
 KEYS = ("source_url",)
 SKILLS_PER_ROW = 256

@@ -52,7 +52,7 @@ def extract_links(
     ``pos`` is the place among the distinct links of the page, first occurrence
     first. ``in_link_box`` keeps to anchors inside ``div.resume-link``.
     """
-    markup = F.regexp_replace(F.col(html), T.INVISIBLE, "<!>")
+    markup = T.let(F.regexp_replace(F.col(html), T.INVISIBLE, "<!>"), T.quoted_angles)
     if in_link_box:
         boxes = F.split(F.regexp_replace(markup, _LINK_BOX, T.MARK + "$1"), T.MARK)
         markup = F.array_join(

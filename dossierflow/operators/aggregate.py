@@ -167,14 +167,7 @@ def skill_months_similar(
     """
     duties = _duty_months(items, keys).withColumn("name", S.norm_skill(F.col("duty")))
     known = _skills(skills, keys)
-    exact_names = known.select(*keys, "name").distinct()
-    exact = duties.join(exact_names, [*keys, "name"]).select(
-        *keys, F.col("name").alias("skill"), "months"
-    )
-    rest = duties.join(exact_names, [*keys, "name"], "left_anti").join(
-        duty_vectors.groupBy("duty").agg(F.min("vector").alias("vector"))
-        .select("duty", M.unit(F.col("vector")).alias("vector")), "duty"
-    )
+    named = known.select(*keys, "name").distinct().withColumn("exact", F.lit(True))
     embedded = known.join(
         skill_vectors.groupBy("skill").agg(F.min("vector").alias("vector"))
         .select("skill", M.unit(F.col("vector")).alias("vector")), "skill"
@@ -182,25 +175,30 @@ def skill_months_similar(
     chunks = embedded.groupBy(*keys, F.floor(F.col("skill_no") / SKILLS_PER_ROW).alias("chunk")).agg(
         F.collect_list(F.struct("skill_no", "name", "vector")).alias("known")
     )
-    scored = rest.join(chunks, list(keys)).select(
-        *keys, "duty", "months",
-        F.array_max(
-            F.transform(
-                "known",
-                lambda k: F.struct(
-                    fn(F.col("vector"), k.vector).alias("sim"), (-k.skill_no).alias("before"),
-                    k["name"].alias("name"),
-                ),
-            )
-        ).alias("best"),
-    )
-    best = scored.groupBy(*keys, "duty").agg(
-        F.max("best").alias("best"), F.max("months").alias("months")
-    )
-    similar = best.filter((F.col("best.sim") >= thr) & (F.col("best.sim") > 0)).select(
-        *keys, F.col("best.name").alias("skill"), "months"
-    )
-    return exact.unionByName(similar).groupBy(*keys, "skill").agg(
+    vectors = duty_vectors.groupBy("duty").agg(F.min("vector").alias("vector")).select(
+        "duty", M.unit(F.col("vector")).alias("vector")
+    )
+    # one way for all duties: those that equal a skill are marked, and the others scored
+    joined = duties.join(named, [*keys, "name"], "left").join(vectors, "duty", "left").join(chunks, list(keys), "left")
+    best = F.array_max(
+        F.transform(
+            "known",
+            lambda k: F.struct(
+                fn(F.col("vector"), k.vector).alias("sim"), (-k.skill_no).alias("before"), k["name"].alias("name"),
+            ),
+        )
+    )
+    scored = joined.select(
+        *keys, "duty", "name", "months", "exact",
+        F.when(F.col("exact").isNull() & F.col("vector").isNotNull(), best).alias("best"),
+    )
+    # a profile's chunks of skills give a duty several rows
+    found = scored.groupBy(*keys, "duty", "name").agg(
+        F.max("best").alias("best"), F.max("months").alias("months"), F.max("exact").alias("exact")
+    )
+    similar = F.when((F.col("best.sim") >= thr) & (F.col("best.sim") > 0), F.col("best.name"))
+    matched = found.select(*keys, F.when(F.col("exact"), F.col("name")).otherwise(similar).alias("skill"), "months")
+    return matched.where(F.col("skill").isNotNull()).groupBy(*keys, "skill").agg(
         F.sum("months").cast("bigint").alias("skill_months")
     )
 

@@ -7,7 +7,7 @@ from checks.registry import ORACLES, QUERIES
 from tests.conftest import SF
 
 INVENTORY = {
-    "src": 3, "sel": 7, "txt": 4, "fld": 8, "wrk": 8, "edu": 1, "skl": 3, "agg": 7, "sim": 2, "sto": 6, "str": 2,
+    "src": 4, "sel": 8, "txt": 5, "fld": 8, "wrk": 8, "edu": 1, "skl": 3, "agg": 11, "sim": 3, "sto": 8, "str": 3,
 }
 
 # fewer than 20 users at this size; the larger size has rows

@@ -279,7 +279,7 @@ def _with_variants(sample: DataFrame, terms: list[Term]) -> DataFrame:
 
 
 def learn_terms(
-    sample: DataFrame, *, max_terms: int = 200, min_docs: int = 4, odds: float = 20.0, alpha: float = 0.05,
+    sample: DataFrame, *, max_terms: int = 200, min_docs: int = 4, odds: float = 20.0, alpha: float = 1.0,
     beginnings: tuple[int, ...] = (4, 5, 6),
 ) -> list[Term]:
     """Words, and word beginnings, that are ``odds`` times likelier in texts labelled 1.
@@ -287,7 +287,8 @@ def learn_terms(
     returned, by the number of texts labelled 1 that have them, times the share of different
     places (the words before and after) among their occurrences, so that near copies
     count as one text. A term must be more than chance: its log-likelihood ratio passes the bound of
-    ``alpha`` shared by all terms tested. Terms of five letters and more may be misspelled by one edit if they are words."""
+    ``alpha`` shared by all terms tested (about so many pass by chance). Terms of five
+    letters and more may be misspelled by one edit if they are words."""
     spoken = F.split(F.lower("text"), r"[^\p{L}\p{N}]+")
     words = F.array_distinct(spoken)
 

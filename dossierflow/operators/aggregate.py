@@ -21,6 +21,7 @@ from dossierflow.functions import skills as S
 from dossierflow.functions import text as T
 from dossierflow.functions import vocabulary as V
 from dossierflow.operators.common import explode_rows
+from dossierflow.operators.similarity import BROADCAST_BYTES, fits_broadcast, unit_vectors
 
 KEYS = ("source_url",)
 SKILLS_PER_ROW = 256
@@ -72,7 +73,7 @@ def months_by_title(items: DataFrame, *, keys: tuple[str, ...] = KEYS) -> DataFr
 def months_by_title_similar(
     items: DataFrame, vectors: DataFrame | None = None, *, thr: float = V.TITLE_SIMILARITY,
     fn: Callable[[np.ndarray, np.ndarray], np.ndarray] = M.dot_rows,
-    keys: tuple[str, ...] = KEYS, vector: str = "vector",
+    keys: tuple[str, ...] = KEYS, vector: str = "vector", max_broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """Months per cluster of similar titles, in item order.
 
@@ -84,16 +85,29 @@ def months_by_title_similar(
 
     Each decision depends on the ones before it within a profile, so a profile
     is read in order. Rows stream through sorted partitions: only the cluster
-    representatives of the current profile are held, never its item list.
+    representatives of the current profile are held, never its item list. A table
+    of vectors below ``max_broadcast_bytes`` (its size is measured) goes to the tasks as it is,
+    and rows move without them.
     """
-    titled = _titled_with(items, vectors, keys, vector)
+    sent = None
+    if vectors is not None:
+        # one row per text, so that a vector listed twice doesn't double its months
+        lookup = unit_vectors(vectors, "title")
+        if fits_broadcast(lookup, max_broadcast_bytes):
+            listed = lookup.where(F.col("_text").isNotNull() & F.col("_v").isNotNull()).collect()  # bounded
+            sent = items.sparkSession.sparkContext.broadcast({r["_text"]: np.array(r["_v"], dtype=np.float64) for r in listed})
+            titled = _titled_with(items, None, keys, None)
+        else:
+            titled = _titled_with(items, lookup, keys, None)
+    else:
+        titled = _titled_with(items, None, keys, vector)
     ordered = titled.repartition(*keys).sortWithinPartitions(*keys, "item_no")
     schema = ", ".join(
         [f"{f.name} {f.dataType.simpleString()}" for f in titled.select(*keys).schema]
         + ["cluster_no int", "display_position string", "months bigint",
            "first_item_no bigint", "titles array<string>"]
     )
-    found = ordered.mapInPandas(M.leader_clusters(list(keys), thr, fn, V.TITLES_KEPT), schema)
+    found = ordered.mapInPandas(M.leader_clusters(list(keys), thr, fn, V.TITLES_KEPT, sent), schema)
     return found.select(
         *keys, "cluster_no", X.title_key(F.col("display_position")).alias("position"),
         "display_position", F.col("months").cast("int").alias("months"),
@@ -101,18 +115,18 @@ def months_by_title_similar(
     )
 
 
-def _titled_with(items: DataFrame, vectors: DataFrame | None, keys, vector: str) -> DataFrame:
-    if vectors is not None:
-        # one row per text, so that a vector listed twice doesn't double its months
-        lookup = vectors.groupBy(F.col("title").alias("_t")).agg(F.min(vector).alias("vector"))
-        items = items.withColumn("_t", T.strip(F.col("title"))).join(lookup, "_t", "left").drop("_t")
-    else:
-        items = items.withColumn("vector", F.col(vector))
+def _titled_with(items: DataFrame, lookup: DataFrame | None, keys, vector: str | None) -> DataFrame:
+    """Rows that count, with the vector of ``lookup`` or of the column ``vector``, or without one."""
+    made = []
+    if lookup is not None:
+        items = items.withColumn("_text", T.strip(F.col("title"))).join(lookup, "_text", "left")
+        made = [F.col("_v").alias("vector")]
+    elif vector is not None:
+        made = [M.unit(F.col(vector)).alias("vector")]
     usable = (F.col("months") > 0) & (X.title_key(F.col("title")) != "")
     return items.filter(usable).select(
         *keys, F.col("item_no").cast("bigint").alias("item_no"),
-        T.strip(F.col("title")).alias("title"), F.col("months").cast("bigint").alias("months"),
-        M.unit(F.col("vector")).alias("vector"),
+        T.strip(F.col("title")).alias("title"), F.col("months").cast("bigint").alias("months"), *made,
     )
 
 

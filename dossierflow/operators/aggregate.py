@@ -170,28 +170,30 @@ def skill_months(
 def skill_months_similar(
     items: DataFrame, skills: DataFrame, duty_vectors: DataFrame, skill_vectors: DataFrame, *,
     thr: float = V.SKILL_SIMILARITY, fn: Callable[[Column, Column], Column] = M.dot,
-    keys: tuple[str, ...] = KEYS,
+    keys: tuple[str, ...] = KEYS, max_broadcast_bytes: int = BROADCAST_BYTES,
 ) -> DataFrame:
     """:func:`skill_months`, where a duty that equals no skill counts for the most
     similar known skill if the similarity reaches ``thr`` (ties: first skill).
 
     Vector tables are ``(duty, vector)`` and ``(skill, vector)``. A profile's
     skills travel as array rows of bounded length, so a duty meets them inside
-    its own row and no duty-skill pairs are emitted.
+    its own row and no duty-skill pairs are emitted. Vector tables that stay below
+    ``max_broadcast_bytes`` (their size is measured) go to the tasks as two matrices, and rows
+    carry the numbers of vectors; ``fn`` other than the dot product takes the vectors along.
     """
     duties = _duty_months(items, keys).withColumn("name", S.norm_skill(F.col("duty")))
     known = _skills(skills, keys)
     named = known.select(*keys, "name").distinct().withColumn("exact", F.lit(True))
-    embedded = known.join(
-        skill_vectors.groupBy("skill").agg(F.min("vector").alias("vector"))
-        .select("skill", M.unit(F.col("vector")).alias("vector")), "skill"
-    )
+    by_duty, by_skill = unit_vectors(duty_vectors, "duty"), unit_vectors(skill_vectors, "skill")
+    if fn is M.dot and fits_broadcast(by_duty.unionByName(by_skill), max_broadcast_bytes):
+        marked = duties.join(named, [*keys, "name"], "left")
+        scored = _scored_by_number(marked, known, by_duty, by_skill, keys)
+        return _matched(scored, thr, keys)
+    embedded = known.join(by_skill.select(F.col("_text").alias("skill"), F.col("_v").alias("vector")), "skill")
     chunks = embedded.groupBy(*keys, F.floor(F.col("skill_no") / SKILLS_PER_ROW).alias("chunk")).agg(
         F.collect_list(F.struct("skill_no", "name", "vector")).alias("known")
     )
-    vectors = duty_vectors.groupBy("duty").agg(F.min("vector").alias("vector")).select(
-        "duty", M.unit(F.col("vector")).alias("vector")
-    )
+    vectors = by_duty.select(F.col("_text").alias("duty"), F.col("_v").alias("vector"))
     # one way for all duties: those that equal a skill are marked, and the others scored
     joined = duties.join(named, [*keys, "name"], "left").join(vectors, "duty", "left").join(chunks, list(keys), "left")
     best = F.array_max(
@@ -206,6 +208,44 @@ def skill_months_similar(
         *keys, "duty", "name", "months", "exact",
         F.when(F.col("exact").isNull() & F.col("vector").isNotNull(), best).alias("best"),
     )
+    return _matched(scored, thr, keys)
+
+
+def _numbered(known: DataFrame, as_: str, no: str) -> tuple[DataFrame, tuple[np.ndarray, np.ndarray]]:
+    """``(as_, no)``, to be broadcast, with a matrix that has vector ``no`` as a column, and the lengths.
+    What has no whole vector is like nothing and left out."""
+    whole = F.col("_text").isNotNull() & (F.size("_v") > 0) & ~F.exists("_v", lambda x: x.isNull())
+    rows = known.where(whole).select("_text", "_v").collect()  # bounded by max_broadcast_bytes
+    lengths = np.array([len(r["_v"]) for r in rows], dtype=np.int64)
+    matrix = np.zeros((lengths.max(initial=0), len(rows)))
+    for i, r in enumerate(rows):
+        matrix[: lengths[i], i] = r["_v"]
+    numbers = known.sparkSession.createDataFrame([(r["_text"], i) for i, r in enumerate(rows)], f"{as_} string, {no} int")
+    return F.broadcast(numbers), (matrix, lengths)
+
+
+def _scored_by_number(marked: DataFrame, known: DataFrame, by_duty: DataFrame, by_skill: DataFrame, keys) -> DataFrame:
+    """Duties with their best skill, found by the numbers of vectors that every task has."""
+    duty_numbers, duty_matrix = _numbered(by_duty, "duty", "_own")
+    skill_numbers, skill_matrix = _numbered(by_skill, "skill", "_no")
+    sent = marked.sparkSession.sparkContext.broadcast((duty_matrix, skill_matrix))
+    # the first of equal vectors is the skill that counts
+    listed = F.struct((-F.col("skill_no")).alias("before"), F.col("name"), F.col("_no").alias("no"))
+    chunks = known.join(skill_numbers, "skill").groupBy(
+        *keys, F.floor(F.col("skill_no") / SKILLS_PER_ROW).alias("chunk")
+    ).agg(F.sort_array(F.collect_list(listed), asc=False).alias("known"))
+    joined = marked.join(duty_numbers, "duty", "left").join(chunks, list(keys), "left")
+    asked = F.col("exact").isNull() & F.col("_own").isNotNull()
+    best = F.pandas_udf(M.best_listed(sent), "sim double, at int")
+    found = joined.withColumn("_best", best("_own", F.when(asked, F.transform("known", lambda k: k.no))))
+    hit = F.get("known", F.col("_best.at"))
+    return found.select(
+        *keys, "duty", "name", "months", "exact",
+        F.struct(F.col("_best.sim").alias("sim"), hit.before.alias("before"), hit["name"].alias("name")).alias("best"),
+    )
+
+
+def _matched(scored: DataFrame, thr: float, keys) -> DataFrame:
     # a profile's chunks of skills give a duty several rows
     found = scored.groupBy(*keys, "duty", "name").agg(
         F.max("best").alias("best"), F.max("months").alias("months"), F.max("exact").alias("exact")

@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from dossierflow import schemas
 from dossierflow.functions import experience as X
-from dossierflow.operators import select, similarity
+from dossierflow.functions import similarity as M
+from dossierflow.operators import aggregate, select, similarity
 from dossierflow.plans.collect import collect_payloads
 from dossierflow.plans.payloads import build_payloads
 from dossierflow.plans.processed import assemble_processed, assemble_processed_similar
@@ -311,3 +312,57 @@ def test_stored_payloads_are_pruned_by_mode(spark, pages, tmp_path):
     shown = select.project_mode(spark.read.parquet(str(tmp_path / "p")), "raw")
     read = re.search(r"ReadSchema: (\S+)", plan(shown)).group(1)
     assert "raw_html" in read and "person_name" not in read and "cleaned_text" not in read
+
+
+def test_small_vectors_are_not_shuffled(spark):
+    texts = spark.createDataFrame([(i, f"t{i % 7}") for i in range(200)] + [(201, None), (202, "none")], "k int, text string")
+    vectors = spark.createDataFrame([(f"t{i}", [1.0 * i, 2.0]) for i in range(7)], "text string, vector array<double>")
+
+    def lists(**options):
+        return similarity.attach_vectors(texts, vectors, key="k", **options).groupBy("k").agg(F.collect_list("vector").alias("v"))
+
+    small = lists()
+    assert plan(small).count("Exchange hashpartitioning") == 1  # the texts, before they meet their vectors
+    assert sorted(small.collect()) == sorted(lists(max_broadcast_bytes=0).collect())
+
+
+def _counted_vector(spark):
+    """A vector of a text, and how often it was made."""
+    calls = spark.sparkContext.accumulator(0)
+
+    @F.udf("array<double>")
+    def vector(text):
+        calls.add(1)
+        return [float(len(text)), 1.0, float(ord(text[-1]) % 3)]
+
+    return vector, calls
+
+
+def test_title_vectors_are_made_once_per_title(spark):
+    items = spark.createDataFrame(
+        [(f"u{i % 9}", i, "ab" * (1 + i % 4), 1 + i % 5) for i in range(400)], "source_url string, item_no int, title string, months int"
+    )
+    vector, calls = _counted_vector(spark)
+    vectors = items.select("title").distinct().select("title", vector("title").alias("vector"))
+    found = sorted(aggregate.months_by_title_similar(items, vectors, thr=0.9).collect())
+    assert calls.value == 4
+    assert found == sorted(aggregate.months_by_title_similar(items, vectors, thr=0.9, max_broadcast_bytes=0).collect())
+
+
+def test_duty_vectors_are_made_once_per_duty_and_numbers_match_vectors(spark):
+    jobs = [(f"u{i % 9}", i, 1 + i % 5, [f"d{i % 6}", f"s{i % 3}", "d1"]) for i in range(300)]
+    items = spark.createDataFrame(jobs, "source_url string, item_no int, months int, duties array<string>")
+    # skills 1 and 4 have equal vectors, and 5 one of another length
+    known = spark.createDataFrame([(f"u{i % 9}", i // 9, f"s{i // 9}") for i in range(54)], "source_url string, skill_no int, skill string")
+    named = spark.createDataFrame(
+        [(f"s{i}", [float(i % 3), 1.0, 0.5]) for i in range(5)] + [("s5", [1.0])], "skill string, vector array<double>"
+    )
+    vector, calls = _counted_vector(spark)
+    duties = items.select(F.explode("duties").alias("duty")).distinct().select("duty", vector("duty").alias("vector"))
+
+    def found(**options):
+        return sorted(aggregate.skill_months_similar(items, known, duties, named, thr=0.7, **options).collect())
+
+    got = found()
+    assert got and calls.value == 9
+    assert got == found(max_broadcast_bytes=0) == found(fn=lambda a, b: M.dot(a, b))

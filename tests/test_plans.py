@@ -3,8 +3,10 @@ plain computations."""
 
 import json
 import re
+import tracemalloc
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -146,6 +148,21 @@ def test_cells_rule_others_out(spark, monkeypatch):
     assert sent[0] == 640 and sum(sent) < 2 * 640  # of 640 * 16
 
 
+def test_cells_are_searched_in_bounded_memory():
+    rng = np.random.default_rng(2)
+    vectors = rng.normal(size=(4096, 64))
+    tracemalloc.start()
+    found = M.top_k(np.arange(4096), vectors, np.arange(4096), vectors, 2, -1.0, True)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert len(found) == 2 * 4096 and peak < 50_000_000  # all scores at once are 134 MB
+    cells = similarity._Cells(vectors[:32], np.full(32, np.pi), np.ones(32, dtype=np.int64))
+    batch = pd.DataFrame({"id": np.arange(4096), "vector": list(vectors)})
+    routed = list(similarity._routed(iter([batch]), cells, lambda c, a, _: a >= 0))
+    assert sum(map(len, routed)) == 4096 * 32
+    assert max(map(len, routed)) * 64 <= similarity.ROUTED_AT_ONCE
+
+
 def test_recall_of_probes(spark):
     given = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").select(F.col("vec_id").alias("id"), F.col("embedding").alias("vector"))
     exact = {(r.query_id, r.item_id) for r in similarity.nearest(given, given, k=2, skip_same=True).collect()}

@@ -4,6 +4,7 @@ import re
 
 from pyspark.sql import functions as F
 
+from checks import tables as B
 from dossierflow.functions import text as T
 from dossierflow.functions import vocabulary as V
 from dossierflow.operators import fields
@@ -50,3 +51,13 @@ def test_a_line_after_a_label_may_be_one_itself(texts):
         return F.transform(fields.label_lines(text, V.LABELS_CITY + V.LABELS_AGE), lambda e: F.concat_ws("|", e.line, e.following))
 
     assert texts(named, ["Місто\nВІК 30\nx\ny", "x\nвік", "", "x"]) == [["Місто|ВІК 30", "ВІК 30|x"], ["вік"], [], []]
+
+
+def test_pages_are_dealt_into_even_bounded_tasks(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "pages")
+    spark.range(9000).selectExpr("id AS page_id", "concat('https://x/resumes/', id, '/') AS url", "'<p>x</p>' AS html").coalesce(1).write.parquet(path)
+    monkeypatch.setattr(B, "corpus_path", lambda *_: path)
+    monkeypatch.setattr(B, "PAGES_PER_TASK", 200)
+    pages = B.profiles(spark, "unused")
+    sizes = [r["count"] for r in pages.groupBy(F.spark_partition_id()).count().collect()]
+    assert sum(sizes) == 9000 and len(sizes) == 45 and max(sizes) < 400  # one file: one task of 9,000

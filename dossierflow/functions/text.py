@@ -17,6 +17,8 @@ from dossierflow.functions import vocabulary as V
 MARK = "\u0001"  # separator that page text cannot contain
 
 NEWLINE = r"[\x0B-\r\x1C-\x1E\x85\u2028\u2029](?:(?<=\r)\n)?+"
+# what may have to change in a text whose spaces are single
+UNEVEN = r"[\t\x0B\f\r\x1C\x1D\x1E\x85\xA0[\u1680-\u3000&&[\u1680\u2000-\u200A\u2028\u2029\u202F\u205F\u3000]]]"
 # the range before ``&&`` settles most characters with one comparison
 GAPS = r"\t\u00A0[\u1680-\u3000&&[\u1680\u2000-\u200A\u202F\u205F\u3000]]"
 SPACES = r"[ \t\n\r\f\x0B\u00A0\u1680\u2000-\u200A\u202F\u205F\u3000]"
@@ -131,13 +133,19 @@ def any_of(words) -> str:
     return "(?:" + "|".join(quoted) + ")"
 
 
-def any_case_of(words) -> str:
-    """:func:`any_of` whatever the case. The class before it holds every character that can
-    begin a word, so other places cost one test, not one per word."""
+def beginnings(words) -> str:
+    """Every character that can begin one of the words, whatever the case."""
     begins = {w[0].upper().lower() for w in words}
     able = (chr(i) for i in range(1, 0x10000) if not 0xD800 <= i < 0xE000)
-    starts = "".join(c for c in able if c in begins or c.upper().lower() in begins or c.lower() in begins)
-    return f"(?-i:(?=[{min(starts)}-{max(starts)}&&[{starts}]]))(?iu:{any_of(words)})"
+    return "".join(c for c in able if c in begins or c.upper().lower() in begins or c.lower() in begins)
+
+
+def any_case_of(words, pattern: str | None = None) -> str:
+    """:func:`any_of` whatever the case, or a ``pattern`` that begins like the words. The class
+    before it holds every character that can begin a word, so other places cost one test, not
+    one per word."""
+    starts = beginnings(words)
+    return f"(?-i:(?=[{min(starts)}-{max(starts)}&&[{starts}]]))(?iu:{pattern or any_of(words)})"
 
 
 def one_of(c: Column, words) -> Column:
@@ -145,6 +153,14 @@ def one_of(c: Column, words) -> Column:
     return F.contains(F.lit("|" + "|".join(words) + "|"), F.concat(F.lit("|"), c, F.lit("|")))
 
 
+def holds(text: Column, *parts: str) -> Column:
+    """Whether a text holds any of the parts: a look at its bytes, far cheaper than a pattern."""
+    found = F.contains(text, F.lit(parts[0]))
+    for p in parts[1:]:
+        found = found | F.contains(text, F.lit(p))
+    return found
+
+
 # --------------------------------------------------------------------------
 # elements
 # --------------------------------------------------------------------------
@@ -306,11 +322,17 @@ def tidy(text: Column) -> Column:
     """White-space rules of the cleaned text: at most one blank line, no empty
     bullets, no line that only says OK."""
     t = F.replace(F.replace(text, F.lit("\u00a0"), F.lit(" ")), F.lit("\u200b"), F.lit(""))
-    t = F.regexp_replace(t, r"[ \t]{2,}", " ")
+    t = let(t, lambda x: F.when(holds(x, "  ", "\t"), F.regexp_replace(x, r"[ \t]{2,}", " ")).otherwise(x))
     # one line end stays one, several become two
-    t = F.regexp_replace(t, r"[ \t]?(\n)[ \t]?(?:(\n)[ \t\n]*)?", "$1$2")
-    t = F.regexp_replace(t, r"\n•[ \t\n]*\n", "\n")
-    t = F.regexp_replace(t, r"(?m)^OK$\n?", "")
+    t = let(
+        t,
+        lambda x: F.when(
+            holds(x, "\t", " \n", "\n "), F.regexp_replace(x, r"[ \t]?(\n)[ \t]?(?:(\n)[ \t\n]*)?", "$1$2")
+        ).when(holds(x, "\n\n\n"), F.regexp_replace(x, r"\n\n\n++", "\n\n")).otherwise(x),
+    )
+    # no space is left before a line end
+    t = let(t, lambda x: F.when(holds(x, "\n•\n"), F.regexp_replace(x, r"\n•[ \t\n]*\n", "\n")).otherwise(x))
+    t = let(t, lambda x: F.when(holds(x, "OK"), F.regexp_replace(x, r"(?m)^OK$\n?", "")).otherwise(x))
     return F.btrim(t, F.lit(" \t\n"))
 
 
@@ -453,8 +475,13 @@ def clean_html(html: Column) -> Column:
     """Readable text of a page: headings as paragraphs, ``dt``/``dd`` as
     ``Key: Value``, list items as ``• item``, one blank line at most. The outermost of
     nested elements is one line."""
-    h = F.regexp_replace(F.coalesce(html, F.lit("")), r"\r\n?", "\n")
-    h = let(let(F.regexp_replace(h, INVISIBLE, "<!>"), quoted_angles), drop_hidden)
+    h = let(
+        F.coalesce(html, F.lit("")),
+        lambda x: F.when(holds(x, "\r"), F.regexp_replace(x, r"\r\n?", "\n")).otherwise(x),
+    )
+    begun = ("<!", "<s", "<S", "<n", "<N")  # beginnings of all that is invisible
+    h = let(h, lambda x: F.when(holds(x, *begun), F.regexp_replace(x, INVISIBLE, "<!>")).otherwise(x))
+    h = let(let(h, quoted_angles), drop_hidden)
     text = let(h, lambda m: F.when(m.rlike(NESTED), _nested_text(m)).otherwise(_flat_text(m)))
     return tidy(let(text, decode_entities))
 
@@ -465,9 +492,14 @@ def clean_html(html: Column) -> Column:
 def normal_text(text: Column) -> Column:
     """Trimmed non-empty lines joined by newline, with plain single spaces; the
     input of all extractors."""
-    t = F.regexp_replace(F.coalesce(text, F.lit("")), NEWLINE, "\n")
-    # a single plain space stays as it is
-    t = F.regexp_replace(t, rf"[ {GAPS}](?:(?<! )|(?=[ {GAPS}]))[ {GAPS}]*+", " ")
+
+    def even(x: Column) -> Column:
+        lines = F.regexp_replace(x, NEWLINE, "\n")
+        # a single plain space stays as it is
+        spaced = F.regexp_replace(lines, rf"[ {GAPS}](?:(?<! )|(?=[ {GAPS}]))[ {GAPS}]*+", " ")
+        return F.when(F.contains(x, F.lit("  ")) | x.rlike(UNEVEN), spaced).otherwise(x)
+
+    t = let(F.coalesce(text, F.lit("")), even)
     t = F.replace(F.replace(t, F.lit(" \n"), F.lit("\n")), F.lit("\n "), F.lit("\n"))
     t = let(t, lambda x: F.when(F.contains(x, F.lit("\n\n")), F.regexp_replace(x, r"\n\n++", "\n")).otherwise(x))
     return trim_lines(t)

@@ -22,6 +22,7 @@ _STOP = T.any_of(V.SECTION_STOPS)
 _HOLDS_STOP = T.any_case_of(V.SECTION_STOPS)
 _LETTER = "[A-Za-zА-Яа-яІіЇїЄєҐґ]"
 _SALARY = r"(?uU)([0-9][0-9\s]{2,})\s*(?i:грн)\b"  # digits have no case
+_CURRENCY = T.beginnings(("грн",))  # most lines hold none of these letters
 _VETERAN = r"(?iuU)\bветеран\b"
 _H1 = r"(?is)<h1(?:\s[^>]*)?>(.*?)</h1\s*>"
 _H2 = r"(?is)<h2(?:\s[^>]*)?>(.*?)</h2\s*>"
@@ -162,7 +163,7 @@ def name_position_columns(lines: Column, html: Column, has_container: Column, li
     h2 = F.when(
         has_container,
         F.coalesce(
-            T.blank_to_null(markup_text(html, _H2_TITLE)), T.blank_to_null(markup_text(html, _H2))
+            T.let(markup_text(html, _H2_TITLE), T.blank_to_null), T.let(markup_text(html, _H2), T.blank_to_null)
         ),
     )
     def choose(n: Column) -> Column:
@@ -226,7 +227,7 @@ def salary_column(lines: Column, limits: Limits = Limits()) -> Column:
     """First plausible amount before the currency word near the top."""
     amounts = F.transform(
         _first_lines(lines, limits.salary_lines),
-        lambda x: F.when(x.rlike(_SALARY) & ~is_section_title(x), _amount(x, _SALARY)),
+        lambda x: F.when(T.holds(x, *_CURRENCY) & x.rlike(_SALARY) & ~is_section_title(x), _amount(x, _SALARY)),
     )
     plausible = F.filter(amounts, lambda a: a.between(V.SALARY_MIN, V.SALARY_MAX))
     return T.first(plausible)
@@ -261,7 +262,7 @@ def veteran_column(html: Column) -> Column:
     badge = (
         r"(?iuU)<(span|div|a)(?:\s[^>]*)?>(?:\s|&nbsp;|<[^/][^>]*>)*+ветеран(?:\s|&nbsp;|<(?!/\1\s*>)[^>]*>)*+</\1\s*>"
     )
-    return h.rlike("(?iu)ветеран") & (near.rlike(_VETERAN) | h.rlike(badge))
+    return h.rlike(T.any_case_of(("ветеран",))) & (near.rlike(_VETERAN) | h.rlike(badge))
 
 
 def section_parts(text: Column, *, exact: bool = False) -> Column:

@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from dossierflow import schemas
+from dossierflow.functions import text as T
 from dossierflow.sources.pages import absolute_url
 
 
@@ -21,8 +22,10 @@ class PayloadMode(str, Enum):
 
 
 # markers of pages without profile text (fixed values)
-FILE_ONLY = r"(?iu)файл резюме|завантажити файл|прикріплен(?:ий|і)\s+файл"
-BUSINESS_CARD = r"(?iu)• Візитка"
+FILE_ONLY = r"файл резюме|завантажити файл|прикріплен(?:ий|і)\s+файл"
+BUSINESS_CARD = "• Візитка"
+# one pass for both
+_UNSUPPORTED = T.any_case_of(("файл", "завантажити", "прикріплен", "•"), f"{FILE_ONLY}|{BUSINESS_CARD}")
 
 
 def pages_range(listing: DataFrame, lo: int, hi: int, page: str = "list_page") -> DataFrame:
@@ -128,7 +131,7 @@ def project_mode(payloads: DataFrame, mode: PayloadMode | str) -> DataFrame:
 
 
 def is_supported(text: Column) -> Column:
-    return ~(text.rlike(FILE_ONLY) | text.rlike(BUSINESS_CARD))
+    return ~text.rlike(_UNSUPPORTED)
 
 
 def drop_unsupported(df: DataFrame, text: str = "cleaned_text") -> DataFrame:

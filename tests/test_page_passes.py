@@ -5,6 +5,7 @@ from itertools import product
 from pyspark.sql import functions as F
 
 from dossierflow.functions import text as T
+from dossierflow.functions import work as W
 from dossierflow.operators import fields, select
 
 
@@ -50,3 +51,15 @@ def test_salaries_and_veterans_in_any_case(texts):
     assert texts(lambda c: fields.salary_column(F.array(c)), lines) == [12000] * 4 + [None] * 2
     heads = [f"<h1>x {w}</h1>" for w in ("ветеран", "Ветеран", "ВЕТЕРАН", "ᲀетеран", "ветер")]
     assert texts(fields.veteran_column, heads) == [True] * 4 + [False]
+
+
+def test_blocks_are_cut_once(spark):
+    assert _plan(spark, W.inline_blocks).count("array_join") == 1
+    assert _plan(spark, W.title_blocks).count("split(") == 1
+
+
+def test_a_text_without_years_has_no_inline_jobs(spark, texts):
+    assert "CASE WHEN NOT" in _plan(spark, W.inline_blocks)
+    values = ["Кухар (2001 – 2003) Кафе (Їжа)\nборщ", "x\nКухар (2010-НИНІ) Кафе", "Кухар (у 2010 - now) y", "Кухар (2001–\n2003)", "Кухар 2001 – 2003", "Кухар (now)", ""]
+    got = [[(b.title, b.body) for b in blocks] for blocks in texts(W.inline_blocks, values)]
+    assert got == [[("Кухар", "борщ")], [("Кухар", "")], [("Кухар", "")], [], [], [], []]

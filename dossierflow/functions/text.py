@@ -341,38 +341,50 @@ def _spellings(*names: str) -> list[str]:
     return sorted({a + b for n in names for a in (n[0], n[0].upper()) for b in (n[1], n[1].upper())})
 
 
-_HEADINGS = _spellings("h1", "h2", "h3", "h4")
-
-
 def _block_text(piece: Column, at: Column) -> Column:
     """Text of one piece of markup; all but the first start with a block tag's name and ``>``."""
-    tag = F.when(at == 0, "").otherwise(F.substring_index(piece, ">", 1))
-    rest = F.when(at == 0, piece).otherwise(F.substr(piece, F.instr(piece, ">") + 1))
 
-    def strip_tags(p: Column) -> Column:
+    def begins(*names: str) -> Column:
+        found = F.startswith(piece, F.lit(names[0] + ">"))
+        for n in names[1:]:
+            found = found | F.startswith(piece, F.lit(n + ">"))
+        return found
+
+    def line(*parts) -> Column:
+        return F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
+
+    def text_of(markup: Column, gap: str, body: Callable[[Column], Column]) -> Column:
+        plain = F.when(F.contains(markup, F.lit("<")), F.regexp_replace(markup, "<[^>]*>", gap)).otherwise(markup)
+        return let(F.when(markup == "", "").otherwise(F.btrim(plain, F.lit(" \t\n"))), body)
+
+    def or_line(t: Column, full: Column) -> Column:
+        return F.when(t == "", "\n").otherwise(full)
+
+    def outside(markup: Column) -> Column:
+        return text_of(markup, "\n", lambda t: or_line(t, line("\n", t, "\n")))
+
+    def ended(markup: Column) -> Column:
+        last = F.when(begins(*("/" + n for n in _spellings("dt"))), "").otherwise("\n")
+        return text_of(markup, "\n", lambda t: F.when(t == "", last).otherwise(line("\n", t, "\n")))
+
+    def begun(markup: Column) -> Column:
         # inside a block tags separate words, elsewhere they separate lines
-        inside = one_of(p.tag, ["p", "P", *_spellings("li", "dt", "dd"), *_HEADINGS])
-        plain = F.when(
-            F.contains(p.rest, F.lit("<")), F.regexp_replace(p.rest, "<[^>]*>", F.when(inside, " ").otherwise("\n"))
-        ).otherwise(p.rest)
-        return F.struct(p.tag.alias("tag"), F.btrim(plain, F.lit(" \t\n")).alias("text"))
-
-    def render(p: Column) -> Column:
-        def line(*parts) -> Column:
-            return F.concat(*[F.lit(x) if isinstance(x, str) else x for x in parts])
-
-        pair = F.length(p.tag) == 2
-        return (
-            F.when(pair & one_of(p.tag, _spellings("dt")), line("\n", F.rtrim(p.text, F.lit(":")), ":"))
-            .when(p.text == "", F.when(one_of(p.tag, ["/" + n for n in _spellings("dt")]), "").otherwise("\n"))
-            .when(~pair, line("\n", p.text, "\n"))
-            .when(one_of(p.tag, _spellings("dd")), line(" ", p.text, "\n"))
-            .when(one_of(p.tag, _spellings("li")), line("\n• ", p.text, "\n"))
-            .when(one_of(p.tag, _HEADINGS), line("\n\n", p.text, "\n"))
-            .otherwise(line("\n", p.text, "\n"))
-        )
+        def shown(t: Column) -> Column:
+            return (
+                F.when(begins("p", "P"), or_line(t, line("\n", t, "\n")))
+                .when(begins(*_spellings("li")), or_line(t, line("\n• ", t, "\n")))
+                .when(begins(*_spellings("dt")), line("\n", F.rtrim(t, F.lit(":")), ":"))
+                .when(begins(*_spellings("dd")), or_line(t, line(" ", t, "\n")))
+                .otherwise(or_line(t, line("\n\n", t, "\n")))
+            )
+
+        return text_of(markup, " ", shown)
 
-    return let(let(F.struct(tag.alias("tag"), rest.alias("rest")), strip_tags), render)
+    rest = F.substr(piece, F.instr(piece, ">") + 1)
+    return (
+        F.when(at == 0, outside(piece)).when(F.startswith(piece, F.lit("/")), let(rest, ended))
+        .when(F.contains(piece, F.lit(">")), let(rest, begun)).otherwise(outside(piece))
+    )
 
 
 def quoted_angles(html: Column) -> Column:
@@ -390,7 +402,7 @@ def quoted_angles(html: Column) -> Column:
 
 def _flat_text(html: Column) -> Column:
     """Text of markup whose block elements hold no others."""
-    pieces = F.split(F.regexp_replace(html, BLOCK_TAG, MARK + "$1>"), MARK)
+    pieces = F.split(F.regexp_replace(html, BLOCK_TAG + r"[ \t\n]*+", MARK + "$1>"), MARK)
     return F.array_join(F.transform(pieces, _block_text), "")
 
 

@@ -63,3 +63,11 @@ def test_a_text_without_years_has_no_inline_jobs(spark, texts):
     values = ["Кухар (2001 – 2003) Кафе (Їжа)\nборщ", "x\nКухар (2010-НИНІ) Кафе", "Кухар (у 2010 - now) y", "Кухар (2001–\n2003)", "Кухар 2001 – 2003", "Кухар (now)", ""]
     got = [[(b.title, b.body) for b in blocks] for blocks in texts(W.inline_blocks, values)]
     assert got == [[("Кухар", "борщ")], [("Кухар", "")], [("Кухар", "")], [], [], [], []]
+
+
+def test_pieces_of_markup_make_no_structs(spark, texts):
+    assert "struct(" not in _plan(spark, T._flat_text)
+    pages = ["<dt> k:: </dt> \n<dd>v<b>w</b>x</dd><dt></dt>t<DT>q</Dt>", "<LI> a<i>b </i></lI>\n\t<p></p><h2> h<br>i </h2>z<br>y<P/> w", " <br>a ", "", "<p>a</p> \n<dd></dd><li></li><h1></h1>"]
+    assert texts(T._flat_text, pages) == [
+        "\n\nk: v w x\n\n\n:\nt\n\nq:", "\n\n• a b\n\n\n\n\n\nh i\n\nz\ny\n\nw\n", "\na\n", "\n", "\n\na\n\n\n\n\n\n\n\n",
+    ]
